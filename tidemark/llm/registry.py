@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import mixing, sharding, sql
+from tidemark.llm import line_dedup, mixing, sharding, sql, urls, warc
 from tidemark.llm.common import table, word_count
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that each document loses to the largest document that shares them, and the digest of what stays."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("mix_size"))
@@ -18,14 +24,29 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the archives of all pages hold of each page."""
+    folder = warc.archive_folder(spark)
+    warc.write_warc(table(spark, sf_dir, "pages"), folder)
+    captures = warc.with_pages(warc.assemble(warc.read_warc(spark, folder).drop("payload")))
+    digest = F.substring_index("payload_digest", ":", -1)
+    return captures.select("page_id", "payload_bytes", digest.alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_page").alias("refers_to"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document, under the law of near equal bytes."""
     out = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url by the fixed rules and by rules mined from the labelled pages."""
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge_urls(pages, urls.labelled_urls(pages, table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_mixing, op9_sharding)}
+    return {f.__name__: f for f in (op4_line_dedup, op5_mixing, op8_warc, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

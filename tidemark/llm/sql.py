@@ -28,4 +28,27 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-ORACLES = {"op5_mixing": OP5}
+OP4 = r"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  FROM documents),
+k AS (
+  SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+s AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone FROM k LEFT JOIN s ON k.key = s.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
+OP8 = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+o AS (SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS owner FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN owner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN owner <> page_id THEN owner END AS refers_to
+FROM o
+"""
+
+ORACLES = {"op4_line_dedup": OP4, "op5_mixing": OP5, "op8_warc": OP8}
