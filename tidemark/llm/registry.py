@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, sharding, sql, urls, warc
+from tidemark.llm import line_dedup, mixing, quality_rules, sharding, sql, urls, warc
 from tidemark.llm.common import table, word_count
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document and whether it passes the quality rules; its source is its host."""
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that each document loses to the largest document that shares them, and the digest of what stays."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -46,7 +51,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_line_dedup, op5_mixing, op8_warc, op9_sharding, op10_url_filter)}
+    return {f.__name__: f for f in (op2_quality_rules, op4_line_dedup, op5_mixing, op8_warc, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:

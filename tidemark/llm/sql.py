@@ -28,6 +28,38 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP2 = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, source FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, text FROM d),
+x AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM w),
+n AS (
+  SELECT doc_id, i, word || chr(31) || lead(word, 1) OVER v || chr(31) || lead(word, 2) OVER v || chr(31) || lead(word, 3) OVER v || chr(31) || lead(word, 4) OVER v AS five
+  FROM x WINDOW v AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS c FROM n WHERE five IS NOT NULL),
+q AS (SELECT doc_id, least(5, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 5)) AS step FROM r WHERE c > 1),
+rep AS (SELECT doc_id, CAST(sum(step) AS BIGINT) AS n_repeat_words FROM q GROUP BY doc_id),
+l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (SELECT *, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS norm FROM l),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM k WHERE norm <> '' GROUP BY doc_id),
+h AS (SELECT source, count(*) AS n_docs FROM d GROUP BY source),
+f AS (
+  SELECT k.source, k.norm FROM k JOIN h ON k.source IS NOT DISTINCT FROM h.source WHERE length(norm) >= 20
+  GROUP BY k.source, k.norm, n_docs HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.01 * n_docs),
+z AS (
+  SELECT k.doc_id, count(f.norm) AS n_removed_lines, CAST(coalesce(sum(length(k.line)) FILTER (f.norm IS NOT NULL), 0) AS BIGINT) AS removed_chars,
+         CAST(sum(length(k.line)) AS BIGINT) AS total_chars
+  FROM k LEFT JOIN f ON k.norm = f.norm AND k.source IS NOT DISTINCT FROM f.source GROUP BY k.doc_id),
+b AS (
+  SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, n_removed_lines, removed_chars, total_chars
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) JOIN z USING (doc_id)),
+j AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (total_chars - removed_chars < 0.3 * total_chars) AS kept, n_removed_lines, removed_chars
+FROM j
+"""
+
 OP4 = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -51,4 +83,4 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN owner = page_id THEN 'r
 FROM o
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op5_mixing": OP5, "op8_warc": OP8}
+ORACLES = {"op2_quality_rules": OP2, "op4_line_dedup": OP4, "op5_mixing": OP5, "op8_warc": OP8}
