@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
+from tidemark.llm import classifier, line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
 from tidemark.llm.common import table, word_count
 
 
@@ -16,6 +16,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labelled documents that aren't held out."""
+    out = classifier.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that each document loses to the largest document that shares them, and the digest of what stays."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -56,7 +62,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op4_line_dedup, op5_mixing, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_classifier, op4_line_dedup, op5_mixing, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
