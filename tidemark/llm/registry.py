@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
+from tidemark.llm import classifier, fingerprints, line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
 from tidemark.llm.common import table, word_count
 
 
@@ -35,6 +35,11 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every document and of its edited version, and their likeness."""
+    return fingerprints.fingerprint_versions(table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the token ids of every document, and whether decoding them gives the text back."""
     return pieces.token_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -62,7 +67,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_classifier, op4_line_dedup, op5_mixing, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
+    return {f.__name__: f for f in (op2_quality_rules, op3_classifier, op4_line_dedup, op5_mixing, op6_fingerprints, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
