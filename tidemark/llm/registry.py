@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import classifier, fingerprints, line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
+from tidemark.llm import classifier, fingerprints, jaccard_join, line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
 from tidemark.llm.common import table, word_count
 
 
+def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and links of every document among those of similar word shingles."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of every document and whether it passes the quality rules; its source is its host."""
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
@@ -67,7 +72,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_quality_rules, op3_classifier, op4_line_dedup, op5_mixing, op6_fingerprints, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
+    return {f.__name__: f for f in (op1_jaccard_join, op2_quality_rules, op3_classifier, op4_line_dedup, op5_mixing, op6_fingerprints, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
