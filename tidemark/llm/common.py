@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,22 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the cluster's shared checkpoint folder."""
-    sc = df.sparkSession.sparkContext
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder; one of this machine's where none is named, as in tests."""
+    sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
         sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """Path of a new folder in the shared checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df, computed once and kept in the cluster's shared checkpoint folder."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint()
 
 

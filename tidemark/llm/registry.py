@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import classifier, fingerprints, jaccard_join, line_dedup, mixing, pieces, quality_rules, sharding, sql, urls, warc
-from tidemark.llm.common import table, word_count
+from tidemark.llm.common import shared_folder, table, word_count
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +52,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives of all pages hold of each page."""
-    folder = warc.archive_folder(spark)
+    folder = shared_folder(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
     captures = warc.with_pages(warc.assemble(warc.read_warc(spark, folder).drop("payload")))
     digest = F.substring_index("payload_digest", ":", -1)

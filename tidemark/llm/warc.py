@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import gzip
 import io
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from tidemark.llm.common import small_side
 
@@ -140,11 +138,3 @@ def with_pages(captures: DataFrame) -> DataFrame:
     own = captures.withColumn("page_id", F.col("metadata")["page-id"].cast("long"))
     target = own.where(F.col("type") == "response").select(F.concat(F.lit("r"), "record_id").alias("refers_key"), F.col("page_id").alias("refers_page"))
     return own.withColumn("refers_key", F.concat(F.lit("r"), "refers_to")).join(target, "refers_key", "left").drop("refers_key")
-
-
-def archive_folder(spark: SparkSession) -> str:
-    """A new folder in the cluster's shared checkpoint folder."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        small_side(spark.range(1))
-    return f"{sc._jsc.sc().getCheckpointDir().get()}/warc-{uuid.uuid4().hex}"
