@@ -5,14 +5,20 @@ The events of a session meet in one exchange, by session; all windows after it s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from tidemark.config import EngineConfig
 from tidemark.functions import columns as C
 
-BY_TIME = Window.partitionBy("session_id").orderBy("ts_ms")
-WHOLE = Window.partitionBy("session_id").orderBy("ts_ms").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+def by_time() -> WindowSpec:
+    return Window.partitionBy("session_id").orderBy("ts_ms")
+
+
+def whole() -> WindowSpec:
+    return by_time().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
 
 
 def normalize_events(events: DataFrame, content: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
@@ -48,9 +54,9 @@ def pulses(events: DataFrame, config: EngineConfig = EngineConfig()) -> DataFram
     flag = lambda kind: F.max((F.col("event_type") == kind).cast("int"))
     at = events.repartition("session_id").groupBy("session_id", "ts_ms").agg(F.min("st").alias("st"), flag(C.END).alias("ends"), flag(C.START).alias("starts"), *[F.min(d).alias(d) for d in config.dims])
     return at.select(
-        "session_id", "ts_ms", "st", *[F.first(d, ignorenulls=True).over(WHOLE).alias(d) for d in config.dims],
-        F.coalesce(F.max("ends").over(WHOLE), F.lit(0)).alias("has_close"), F.coalesce(F.max("starts").over(WHOLE), F.lit(0)).alias("has_start"),
-        F.lag("ts_ms").over(BY_TIME).alias("prev_ts"), F.lead("ts_ms").over(BY_TIME).alias("next_ts"),
+        "session_id", "ts_ms", "st", *[F.first(d, ignorenulls=True).over(whole()).alias(d) for d in config.dims],
+        F.coalesce(F.max("ends").over(whole()), F.lit(0)).alias("has_close"), F.coalesce(F.max("starts").over(whole()), F.lit(0)).alias("has_start"),
+        F.lag("ts_ms").over(by_time()).alias("prev_ts"), F.lead("ts_ms").over(by_time()).alias("next_ts"),
     )
 
 
@@ -66,7 +72,7 @@ def transitions(events: DataFrame, config: EngineConfig = EngineConfig()) -> Dat
     base = F.least(F.col("st"), opens)
     after_gap = F.when(F.col("ts_ms") - F.col("prev_ts") > gap, F.lit(1))
     if config.gap_reopen_requires_active:
-        before = F.last("base", ignorenulls=True).over(BY_TIME.rowsBetween(Window.unboundedPreceding, -1))
+        before = F.last("base", ignorenulls=True).over(by_time().rowsBetween(Window.unboundedPreceding, -1))
         at = at.withColumn("base", base).withColumn("before", before)
         base, after_gap = F.col("base"), F.when(F.col("before") == 1, after_gap)
     code = F.least(base, after_gap)
@@ -76,7 +82,7 @@ def transitions(events: DataFrame, config: EngineConfig = EngineConfig()) -> Dat
     both = F.array(row(F.col("ts_ms"), code, own), row(F.col("ts_ms") + gap, silent, F.when(silent == 0, "gap_close").otherwise("watermark_close")))
     out = at.select("session_id", *config.dims, "has_close", F.inline(F.filter(both, lambda x: x["st"].isNotNull())))
     if config.strict_close:
-        closed = F.min("st").over(BY_TIME.rowsBetween(Window.unboundedPreceding, -1))
+        closed = F.min("st").over(by_time().rowsBetween(Window.unboundedPreceding, -1))
         out = out.withColumn("closed", closed).where(F.coalesce(F.col("closed"), F.lit(0)) > -1).drop("closed")
     return out
 
@@ -86,8 +92,8 @@ def active_intervals(events: DataFrame, config: EngineConfig = EngineConfig()) -
 
     is_open marks all intervals of a session without close; is_provisional only the one that a synthetic close ends.
     """
-    steps = transitions(events, config).withColumn("before", F.lag("st").over(BY_TIME)).where(~F.col("st").eqNullSafe(F.col("before")))
-    spans = steps.withColumns({"end_ms": F.lead("ts_ms").over(BY_TIME), "end_kind": F.lead("kind").over(BY_TIME)})
+    steps = transitions(events, config).withColumn("before", F.lag("st").over(by_time())).where(~F.col("st").eqNullSafe(F.col("before")))
+    spans = steps.withColumns({"end_ms": F.lead("ts_ms").over(by_time()), "end_kind": F.lead("kind").over(by_time())})
     spans = spans.where((F.col("st") == 1) & (F.col("end_ms") > F.col("ts_ms")))
     return spans.select(
         "session_id", F.col("ts_ms").alias("start_ms"), "end_ms", *config.dims,
@@ -97,7 +103,7 @@ def active_intervals(events: DataFrame, config: EngineConfig = EngineConfig()) -
 
 def gap_transitions(events: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """The changes that silence alone implies: 0 at gap_ms after the last instant before it, 1 at the first after it."""
-    at = events.select("session_id", "ts_ms").distinct().withColumn("prev_ts", F.lag("ts_ms").over(BY_TIME)).where(F.col("ts_ms") - F.col("prev_ts") > config.gap_ms)
+    at = events.select("session_id", "ts_ms").distinct().withColumn("prev_ts", F.lag("ts_ms").over(by_time())).where(F.col("ts_ms") - F.col("prev_ts") > config.gap_ms)
     off = F.struct((F.col("prev_ts") + config.gap_ms).alias("ts_ms"), F.lit(0).alias("st"))
     return at.select("session_id", F.inline(F.array(off, F.struct(F.col("ts_ms"), F.lit(1).alias("st")))))
 
