@@ -19,8 +19,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 _SHIPPED: set[str] = set()
 
 
+#: Rows, most of them a whole document, that Python gets at once; Spark's own default of 10,000 takes many times the memory.
+ROWS_PER_BATCH = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors' Python, once, so that they need no installation and no path of the driver's."""
+    """Sends this package to the executors' Python, once, so that they need no installation and no path of the driver's, and
+    bounds the batches that they exchange with it, unless the session has a bound of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
     package = Path(__file__).resolve().parent.parent
     if spark.sparkContext.applicationId in _SHIPPED or not package.is_dir():
         return
