@@ -35,8 +35,8 @@ def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document of least doc_id of each class of similar documents; of rows that repeat id and text, one."""
     classes = jaccard_join(docs).where(F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
     kept = docs.join(classes, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
-    same = Window.partitionBy("doc_id", "text_hash").orderBy("text_hash")
-    return kept.withColumn("text_hash", F.xxhash64("text")).withColumn("nth", F.row_number().over(same)).where("nth = 1").select(docs.columns)
+    same = Window.partitionBy("doc_id", "join_hash").orderBy("join_hash")
+    return kept.withColumn("join_hash", F.xxhash64("text")).withColumn("join_nth", F.row_number().over(same)).where("join_nth = 1").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,12 +82,12 @@ def forward(model: dict, rows: np.ndarray, begin: np.ndarray) -> tuple:
     return _sigmoid(z @ model["o"] + model["p"]), x, h, t, g, a, z
 
 
-def train(rows: np.ndarray, begin: np.ndarray, labels: np.ndarray, epochs: int = 30, batch: int = 256, rate: float = 0.01, seed: int = 7) -> dict:
-    """Model for bags of passages by Adam; the same rows in the same order give the same model. With one class only, or none, the
+def train(rows: np.ndarray, begin: np.ndarray, labels: np.ndarray, epochs: int = 30, batch: int = 256, rate: float = 0.01, seed: int = 7, least_steps: int = 400) -> dict:
+    """Model for bags of passages by Adam, over at least so many epochs and steps; the same rows in the same order give the same model. With one class only, or none, the
     score is the same for all: the share of label 1, or a half."""
     r = np.random.default_rng(seed)
     share = float(labels.mean()) if len(labels) else 0.5
-    if not 0 < share < 1:
+    if not len(labels) or not 0 < share < 1:
         return {"constant": share}
     model = {
         "mean": rows.mean(0), "scale": rows.std(0) + 1e-3, "W": r.normal(0, FEATURES**-0.5, (FEATURES, HIDDEN)), "b": np.zeros(HIDDEN),
@@ -97,6 +97,7 @@ def train(rows: np.ndarray, begin: np.ndarray, labels: np.ndarray, epochs: int =
     learned = [k for k in model if k not in ("mean", "scale")]
     m, v, step = {k: 0 * model[k] for k in learned}, {k: 0 * model[k] for k in learned}, 0
     sizes = np.diff(begin)
+    epochs = max(epochs, -(-least_steps // -(-len(labels) // batch)))
     for epoch in range(epochs):
         order = r.permutation(len(labels))
         for i in range(0, len(order), batch):

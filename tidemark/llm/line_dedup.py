@@ -52,7 +52,7 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
 
 
-def _marks(batches: Iterator[pa.RecordBatch], bits: int, least: int) -> Iterator[pa.RecordBatch]:
+def _marks(batches: Iterator[pa.RecordBatch], bits: int, least: int, block: int) -> Iterator[pa.RecordBatch]:
     """For each block of the filters, the positions that this task's lines hit once and those that they hit twice or more."""
     once, twice = np.zeros(bits >> 3, np.uint8), np.zeros(bits >> 3, np.uint8)
 
@@ -67,14 +67,14 @@ def _marks(batches: Iterator[pa.RecordBatch], bits: int, least: int) -> Iterator
         again = at[(n > 1) | known(once, at)]
         np.bitwise_or.at(once, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
         np.bitwise_or.at(twice, again >> 3, np.left_shift(1, again & 7).astype(np.uint8))
-    for i in range(0, bits, BLOCK):
-        a, b = (np.unpackbits(x[i >> 3 : (i + BLOCK) >> 3], bitorder="little").nonzero()[0].astype(np.uint32) for x in (once, twice))
+    for i in range(0, bits, block):
+        a, b = (np.unpackbits(x[i >> 3 : (i + block) >> 3], bitorder="little").nonzero()[0].astype(np.uint32) for x in (once, twice))
         if len(a):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([i // BLOCK], pa.int32()), "once": [a.tobytes()], "twice": [b.tobytes()]})
+            yield pa.RecordBatch.from_pydict({"block": pa.array([i // block], pa.int32()), "once": [a.tobytes()], "twice": [b.tobytes()]})
 
 
-def _merge(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    once, twice = np.zeros(BLOCK, bool), np.zeros(BLOCK, bool)
+def _merge(key: tuple, tables: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    once, twice = np.zeros(block, bool), np.zeros(block, bool)
     for batch in tables:
         for a, b in zip(batch.column("once").to_pylist(), batch.column("twice").to_pylist(), strict=True):
             a, b = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
@@ -84,19 +84,24 @@ def _merge(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
     yield pa.RecordBatch.from_pydict({"block": pa.array([key[0].as_py()], pa.int32()), "bits": [np.packbits(twice, bitorder="little").tobytes()]})
 
 
-def twice_seen(docs: DataFrame, least: int) -> tuple[Broadcast, int]:
-    """The filter of lines seen twice, broadcast, and its number of bits, at most MOST_BITS.
+def twice_seen(docs: DataFrame, least: int, most_bits: int) -> tuple[Broadcast, int]:
+    """The filter of lines seen twice, broadcast, and its number of bits, at most most_bits.
 
     Each task marks the two filters for its own documents; blocks of all tasks' filters are merged apart from each other, where a
     position that two tasks have seen once has been seen twice.
     """
     lines = docs.agg(F.sum(F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    bits = min(MOST_BITS, max(BLOCK, 1 << (BITS_PER_LINE * int(lines) - 1).bit_length()))
-    marks = docs.select("text").mapInArrow(lambda b: _marks(b, bits, least), "block int, once binary, twice binary")
-    blocks = marks.groupBy("block").applyInArrow(_merge, "block int, bits binary")
+    bits = min(most_bits, max(BLOCK, 1 << (BITS_PER_LINE * int(lines) - 1).bit_length()))
+    block = min(BLOCK, bits)
+    marks = docs.select("text").mapInArrow(lambda b: _marks(b, bits, least, block), "block int, once binary, twice binary")
+
+    def merged(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _merge(key, tables, block)
+
+    blocks = marks.groupBy("block").applyInArrow(merged, "block int, bits binary")
     whole = np.zeros(bits >> 3, np.uint8)
     for row in blocks.toLocalIterator():
-        whole[row["block"] * BLOCK >> 3 : (row["block"] + 1) * BLOCK >> 3] = np.frombuffer(row["bits"], np.uint8)
+        whole[row["block"] * block >> 3 : (row["block"] + 1) * block >> 3] = np.frombuffer(row["bits"], np.uint8)
     return docs.sparkSession.sparkContext.broadcast(whole), bits
 
 
@@ -116,7 +121,7 @@ def _suspects(batches: Iterator[pa.RecordBatch], twice: Broadcast, bits: int, le
 def _strip(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts, counts, dropped = [], [], []
-        for text, drop in zip(_texts(batch, "text"), batch.column("digests").to_pylist(), strict=True):
+        for text, drop in zip(_texts(batch, "text"), batch.column("line_digests").to_pylist(), strict=True):
             lines = text.split(b"\n")
             kept = lines
             if drop:
@@ -125,34 +130,34 @@ def _strip(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
             texts.append(b"\n".join(kept))
             counts.append(len(lines))
             dropped.append(len(lines) - len(kept))
-        columns = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] not in ("text", "digests")]
-        names = [x for x in batch.schema.names if x not in ("text", "digests")]
+        columns = [batch.column(i) for i in range(batch.num_columns) if batch.schema.names[i] not in ("text", "line_digests")]
+        names = [x for x in batch.schema.names if x not in ("text", "line_digests")]
         yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(dropped, pa.int64())], [*names, "text", "n_lines", "n_dropped"])
 
 
-def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_chars: int = 20, least_docs: int = 3, most_bits: int = MOST_BITS) -> DataFrame:
     """docs (doc_id, text, maybe more) without the lines that documents share, with n_lines (before dropping) and n_dropped.
 
     A line whose key has at least least_chars code points and is found in at least least_docs documents stays only in the largest
     doc_id that holds it, there every time it occurs. Null and empty texts are one empty line, and come out empty. A null
     doc_id counts as one document below all others; rows that repeat a doc_id are one document, and keep or lose a
-    line together. Other columns stay as they are; the names n_lines and n_dropped are this operator's. An empty table
+    line together. Other columns stay as they are; n_lines, n_dropped, line_doc and line_digests are this operator's names. An empty table
     gives an empty result.
 
     Only lines that the filter of twice-seen hashes holds are shuffled, as 16-byte digests of their keys; they are then
     counted exactly. Texts are shuffled once, by doc_id, to meet their drop lists.
     """
-    extra = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped")]
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "n_lines", "n_dropped", "line_doc", "line_digests")]
     docs = docs.select("doc_id", "text", *extra)
-    doc = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc")
-    twice, bits = twice_seen(docs, least_chars)
-    suspects = docs.select(doc, "text").mapInArrow(lambda b: _suspects(b, twice, bits, least_chars), "doc long, digest binary")
+    doc = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
+    twice, bits = twice_seen(docs, least_chars, most_bits)
+    suspects = docs.select(doc.alias("doc"), "text").mapInArrow(lambda b: _suspects(b, twice, bits, least_chars), "doc long, digest binary")
     suspects = checkpointed(suspects)
     shared = suspects.groupBy("digest").agg(F.countDistinct("doc").alias("n"), F.max("doc").alias("keeper")).where(F.col("n") >= least_docs)
     shared = shared.select(F.hex("digest").alias("key"), "keeper")
     drops = suspects.withColumn("key", F.hex("digest")).join(shared, "key").where(F.col("doc") != F.col("keeper"))
-    drops = drops.groupBy("doc").agg(F.collect_set("digest").alias("digests"))
-    joined = docs.withColumn("doc", doc).join(drops, "doc", "left").select("doc_id", "text", *extra, "digests")
+    drops = drops.groupBy("doc").agg(F.collect_set("digest").alias("line_digests")).withColumnRenamed("doc", "line_doc")
+    joined = docs.withColumn("line_doc", doc).join(drops, "line_doc", "left").select("doc_id", "text", *extra, "line_digests")
     types = dict(docs.dtypes)
     schema = ", ".join(f"`{c}` {types[c]}" for c in ("doc_id", *extra)) + ", text string, n_lines long, n_dropped long"
     return joined.mapInArrow(lambda b: _strip(b, least_chars), schema)
