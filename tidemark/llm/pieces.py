@@ -23,7 +23,7 @@ MARK = "▁"
 #: Separates words in the indexed text; no UTF-8 text holds it.
 GAP = 0xFF
 #: Bytes of words indexed at once; words kept encoded in one task; characters above which a word is relaxed by a heap; text bytes handled at once.
-INDEX_BYTES, KEPT_WORDS, LONG_WORD, SLICE_BYTES = 1 << 20, 600_000, 200, 8_000_000
+INDEX_BYTES, KEPT_WORDS, LONG_WORD, SLICE_BYTES = 1 << 19, 400_000, 200, 2_000_000
 #: A word for this purpose: spaces and what follows up to the next space. Line feeds occur in no piece of several characters.
 WORDS = re.compile("\n| *[^ \n]+| +")
 
