@@ -12,7 +12,7 @@ from tidemark.llm.common import checkpointed, small_side
 #: Groups below 1/BUNDLES of all bytes are packed in bundles of many groups; so items to pack are at most 2 * BUNDLES.
 BUNDLES = 4096
 #: Documents that one task numbers.
-SLICE = 20_000
+SLICE = 1_000
 
 
 def best_fit(sizes: list[int], capacity: int, bins: int | None = None) -> list[int] | None:
