@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import MINUTE_MS
-from tidemark.functions.columns import ceil_minute, floor_minute
+from tidemark.functions.columns import floor_minute
 from tidemark.operators.minutes import curve, running
 
 
@@ -167,6 +167,3 @@ def dense_curve(gold: DataFrame, metric: str = "cnt_a") -> DataFrame:
     at = ConcurrencyQuery(metric).by_minute(gold)
     spine = time_range(gold).select(F.explode(F.sequence("first_minute", "last_minute")).alias("minute_id"))
     return spine.join(at, "minute_id", "left").select("minute_id", F.coalesce("c", F.lit(0).cast("long")).alias("c"))
-
-
-__all__ = ["ConcurrencyQuery", "active_at", "bucket_sensitivity", "ceil_minute", "crosscheck", "dense_curve", "exact_peak", "exact_peak_bounded", "open_sessions", "reach", "time_range", "windowed_read"]
