@@ -58,8 +58,9 @@ def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
     """
     keyed = rows.withColumns({"mix_skey": text_key(F.col("source")), "mix_key": mix_key(F.col("doc_id"), seed)})
     keyed = keyed.withColumn("mix_range", F.shiftright(F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long") * RANGES, 32).cast("int"))
-    totals = checkpointed(keyed.groupBy("mix_skey", "mix_range").agg(F.first("source").alias("source"), F.sum("mix_size").alias("range_size")))
-    targets = source_targets(totals.groupBy("mix_skey").agg(F.first("source").alias("source"), F.sum("range_size").alias("source_size")).drop("mix_skey"), weights, max_epochs)
+    totals = checkpointed(keyed.groupBy("mix_skey", "mix_range").agg(F.sum("mix_size").alias("range_size")))
+    name = F.when(F.col("mix_skey") != "n", F.substring("mix_skey", 2, 1 << 30)).alias("source")  # sums alone keep the aggregates in hash tables
+    targets = source_targets(totals.groupBy("mix_skey").agg(F.sum("range_size").alias("source_size")).select(name, "source_size"), weights, max_epochs)
     ranges = totals.withColumn("mix_before", F.sum("range_size").over(Window.partitionBy("mix_skey").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("range_size"))
     targets = targets.select(text_key(F.col("source")).alias("mix_skey"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
     side = small_side(ranges.select("mix_skey", "mix_range", "mix_before").join(targets, "mix_skey"))
