@@ -143,6 +143,16 @@ def test_rules_remove_frequent_lines(spark):
     assert all(not got[200 + i]["kept"] for i in range(25))
 
 
+def test_rules_do_not_depend_on_the_size_of_the_host(spark):
+    rows = [(i, f"{LINE}\nbody {i} " + " ".join(f"w{i}x{k}" for k in range(40)), "h") for i in range(21)]
+    clean = spark.range(1000, 4000).selectExpr("id AS doc_id", "concat('clean words of ', id) AS text", "'h' AS source")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for df in (docs, docs.union(clean)):
+        got = {r["doc_id"]: r["n_removed_lines"] for r in quality_rules.quality_rules(df).where("doc_id < 1000").collect()}
+        assert got == {i: 1 for i in range(21)}
+    assert sum(r["n_removed_lines"] for r in quality_rules.quality_rules(docs.where("doc_id > 0")).collect()) == 0
+
+
 # 3
 
 

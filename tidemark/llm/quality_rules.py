@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_side, text_key
+from tidemark.llm.common import text_key
 
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "[#*$%&|<>]"
@@ -62,14 +62,14 @@ def lines_of(rows: DataFrame, least_chars: int) -> DataFrame:
     return lines.where(F.length("norm") >= least_chars).select("row_key", "line_at", F.length("line").alias("chars"), F.xxhash64("host", "norm").alias("line_key"), "host")
 
 
-def quality_rules(docs: DataFrame, host: str = "source", least_chars: int = 20, least_docs: int = 20, share: float = 0.01, left_share: float = 0.3) -> DataFrame:
+def quality_rules(docs: DataFrame, host: str = "source", least_chars: int = 20, least_docs: int = 20, left_share: float = 0.3) -> DataFrame:
     """Statistics and verdict of every document.
 
     docs has doc_id, text and the host column; other columns are not read. Returns doc_id, n_words, word_chars, n_symbols,
     n_dup_lines, n_repeat_words, base_failed, kept, n_removed_lines, removed_chars.
 
     base_failed: under 10 words, or over 20 % of the words in repeated windows. A line of at least least_chars code points is
-    removed from all documents of a host where it is found in more than least_docs of them and in more than this share of them. A
+    removed from all documents of a host where it is found in more than least_docs of them, however many documents the host has. A
     document of which less than left_share of the characters stays is depleted; depleted and base_failed ones aren't kept. Null text
     counts as empty and fails; a null host is a host of its own. Each row counts as a document: rows that repeat a doc_id
     get a row each. An empty table gives an empty result.
@@ -79,11 +79,9 @@ def quality_rules(docs: DataFrame, host: str = "source", least_chars: int = 20,
     lines = lines_of(rows, least_chars)
     # in a row a line counts once: only its first place goes into the count
     per_row = F.array_distinct(F.transform(F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.lower(F.btrim(x, F.lit(BLANK)))), lambda x: F.length(x) >= least_chars), lambda x: F.xxhash64(F.col("host"), x)))
-    counted = rows.select("host", F.explode(per_row).alias("line_key")).groupBy("line_key").agg(F.count("*").alias("n"), F.first("host").alias("host")).where(F.col("n") > least_docs)
-    hosts = small_side(rows.groupBy("host").agg(F.count("*").alias("n_docs")))
-    frequent = counted.join(hosts, "host").where(F.col("n") > share * F.col("n_docs"))
+    counted = rows.select(F.explode(per_row).alias("line_key")).groupBy("line_key").agg(F.count("*").alias("n")).where(F.col("n") > least_docs)
     # a key of its own on both sides, so that a line of very many documents is a partition that Spark splits
-    frequent = frequent.select(F.xxhash64("line_key").alias("join_key"), "line_key")
+    frequent = counted.select(F.xxhash64("line_key").alias("join_key"), "line_key")
     hits = lines.withColumn("join_key", F.xxhash64("line_key")).join(frequent, ["join_key", "line_key"]).select("row_key", "line_at", "chars")
     removed = hits.groupBy("row_key", "line_at").agg(F.max("chars").alias("chars")).groupBy("row_key").agg(F.count("*").alias("n_removed_lines"), F.sum("chars").cast("long").alias("removed_chars"))
     total = F.length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(""))).cast("long")
