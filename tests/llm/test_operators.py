@@ -332,6 +332,21 @@ def test_warc_parses_plain_streams():
     assert [r["payload"] for r in got] == ["body", "body"] and got[0]["payload_bytes"] == 4
 
 
+def test_warc_measures_payloads():
+    def record(body, declared=b"body", more=b""):
+        block = b"HTTP/1.1 200 OK\r\nContent-Length: %d%s\r\n\r\n" % (len(declared), more) + body
+        head = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <r>\r\nWARC-Payload-Digest: sha1:%s\r\n" % hashlib.sha1(declared).hexdigest().encode()
+        return head + b"Content-Length: %d\r\n\r\n" % len(block) + block
+
+    (got,) = warc.parse(io.BytesIO(record(b"body") + b"\r\n\r\n"))
+    assert got["payload_bytes"] == 4 and got["payload_digest"] == "sha1:" + hashlib.sha1(b"body").hexdigest()
+    (got,) = warc.parse(io.BytesIO(record(b"4\r\nbody\r\n0\r\n\r\n", more=b"\r\nTransfer-Encoding: chunked")))
+    assert got["payload_bytes"] == 14 and got["payload_digest"] != "sha1:" + hashlib.sha1(b"body").hexdigest()
+    for broken in (record(b"bodY"), record(b"bod"), record(b"body")[:-1], record(b"body")[:40]):
+        with pytest.raises(ValueError):
+            list(warc.parse(io.BytesIO(broken)))
+
+
 # 9
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
 from collections.abc import Iterator
 
@@ -75,8 +77,23 @@ def write_warc(pages: DataFrame, path: str, max_records: int = 30_000) -> None:
     records(deduplicated(pages)).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", max_records).mode("overwrite").text(path)
 
 
+def _measured(headers: dict[str, str], head: bytes, body: bytes) -> str:
+    """SHA-1 of a response's body. Fails if the declared payload length or digest is another one; chunked bodies and records that
+    declare their truncation have no payload to hold them against."""
+    sha1 = hashlib.sha1(body)
+    names = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n")[1:])}
+    if b"transfer-encoding" not in names and "warc-truncated" not in headers:
+        if int(names.get(b"content-length", len(body))) != len(body):
+            raise ValueError(f"{headers.get('warc-record-id')}: {len(body)} bytes of payload, {int(names[b'content-length'])} declared")
+        law, _, digest = headers.get("warc-payload-digest", "").partition(":")
+        if law.lower() == "sha1" and digest.lower() != sha1.hexdigest() and digest.upper() != base64.b32encode(sha1.digest()).decode():
+            raise ValueError(f"{headers.get('warc-record-id')}: payload of SHA-1 {sha1.hexdigest()}, {digest} declared")
+    return f"sha1:{sha1.hexdigest()}"
+
+
 def parse(stream) -> Iterator[dict]:
-    """Records of an open WARC stream, by their declared lengths."""
+    """Records of an open WARC stream, by their declared lengths. payload_bytes and payload_digest (SHA-1) are those of a response's
+    body as read, and for revisits the declared ones. A record that ends early or a payload unlike the declared one fails."""
     while line := stream.readline():
         if not line.startswith(b"WARC/"):
             continue
@@ -85,16 +102,20 @@ def parse(stream) -> Iterator[dict]:
             name, _, value = line.decode("utf-8", "replace").partition(":")
             headers[name.strip().lower()] = value.strip()
         block = stream.read(int(headers.get("content-length", 0)))
-        kind, payload, size, fields = headers.get("warc-type"), None, None, {}
+        if not line or len(block) < int(headers.get("content-length", 0)):
+            raise ValueError(f"{headers.get('warc-record-id')}: the archive ends within this record")
+        kind, payload, size, digest, fields = headers.get("warc-type"), None, None, headers.get("warc-payload-digest"), {}
         if kind in ("response", "revisit"):
             head, _, body = block.partition(b"\r\n\r\n")
-            size = next((int(x[15:]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(body))
-            payload = body.decode("utf-8", "replace") if kind == "response" else None
+            if kind == "response":
+                size, digest, payload = len(body), _measured(headers, head, body), body.decode("utf-8", "replace")
+            else:
+                size = next((int(x[15:]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")), len(body))
         elif kind == "metadata":
             fields = {k.strip(): v.strip() for k, _, v in (x.partition(":") for x in block.decode("utf-8", "replace").splitlines()) if k.strip()}
         yield {
             "record_id": headers.get("warc-record-id"), "type": kind, "concurrent_to": headers.get("warc-concurrent-to"), "uri": headers.get("warc-target-uri"), "date": headers.get("warc-date"),
-            "refers_to": headers.get("warc-refers-to"), "payload_digest": headers.get("warc-payload-digest"), "payload_bytes": size, "payload": payload, "fields": fields,
+            "refers_to": headers.get("warc-refers-to"), "payload_digest": digest, "payload_bytes": size, "payload": payload, "fields": fields,
         }
 
 
