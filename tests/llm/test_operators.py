@@ -229,6 +229,14 @@ def test_mix(edge, none, documents):
     assert mixing.mix_sources(none.withColumn("mix_size", word_count(F.col("text")))).count() == 0
 
 
+def test_cut_copies_keep_white_space(spark):
+    text = " one  two\n\tthree\r\nfour\n"
+    mixed = spark.createDataFrame([(text, 4, n) for n in (1, 2, 3, 4, 7)], "text string, mix_size long, mix_taken long")
+    got = sorted((r["mix_taken"], r["text"]) for r in mixing.mixed_copies(mixed).collect())
+    three = " one  two\n\tthree"
+    assert got == sorted([(1, " one"), (2, " one  two"), (3, three), (4, text), (7, text), (7, three)])
+
+
 def test_targets(spark):
     got = mixing.source_targets(spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1000), (None, 4)], "source string, source_size long"))
     t = {r["source"]: r["target"] for r in got.collect()}

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, checkpointed, small_side, text_key
+from tidemark.llm.common import WORD, WS, checkpointed, small_side, text_key
 
 #: Key ranges a source is cut into. A range is what one task sorts; it holds 1/1024 of a source's rows.
 RANGES = 1024
@@ -75,12 +75,12 @@ def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
 
 
 def mixed_copies(mixed: DataFrame) -> DataFrame:
-    """The rows that the mix emits, from the result of mix_sources with a text column: a row for each epoch, the last one cut to
-    the words that the mix takes of it. Rows of size 0 aren't emitted."""
+    """The rows that the mix emits, from the result of mix_sources with a text column: a row for each epoch, the last one cut in
+    its text behind the last word that the mix takes of it. Rows of size 0 aren't emitted."""
     whole = F.floor(F.col("mix_taken") / F.greatest(F.col("mix_size"), F.lit(1))).cast("int")
     part = (F.col("mix_taken") - whole * F.col("mix_size")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), whole), F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))
-    words = F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("mix_copy"), F.lit(1))), " ")
+    words = F.regexp_extract_all("text", F.lit(f"{WS}*{WORD}"), F.lit(0))  # each with the white space before it
+    cut = F.array_join(F.slice(words, F.lit(1), F.greatest(F.col("mix_copy"), F.lit(1))), "")
     out = mixed.where(F.col("mix_taken") > 0).withColumn("mix_copy", F.explode(copies))
     return out.withColumn("text", F.when(F.col("mix_copy") < 0, F.col("text")).otherwise(cut)).drop("mix_copy")
