@@ -32,11 +32,16 @@ def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each class of similar documents; of rows that repeat id and text, one."""
-    classes = jaccard_join(docs).where(F.col("class_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    kept = docs.join(classes, docs["doc_id"].eqNullSafe(F.col("kept_id")), "left_semi")
+    """One row of each class of similar documents, that of least doc_id, null last, and among rows of that id of least hash of the
+    text. Texts without words are classes of their own; of rows that repeat id and text, one."""
+    alone = F.col("class_set").isNull()
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_hash")).alias("first")
+    classes = jaccard_join(docs, tell_rows=True).groupBy("class_set", F.when(alone, F.col("doc_id")), F.when(alone, F.col("text_hash"))).agg(first)
+    classes = classes.select(F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_hash"))
+    rows = docs.withColumn("join_hash", F.xxhash64("text"))
+    kept = rows.join(classes, rows["doc_id"].eqNullSafe(F.col("kept_id")) & (F.col("join_hash") == F.col("kept_hash")), "left_semi")
     same = Window.partitionBy("doc_id", "join_hash").orderBy("join_hash")
-    return kept.withColumn("join_hash", F.xxhash64("text")).withColumn("join_nth", F.row_number().over(same)).where("join_nth = 1").select(docs.columns)
+    return kept.withColumn("join_nth", F.row_number().over(same)).where("join_nth = 1").select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,17 @@ def test_stages_take_edge_rows(spark, sf_dir, stages):
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, df, sf_dir).count() >= 0, name
         assert stage(spark, df.where(F.lit(False)), sf_dir).count() == 0, name
+
+
+def test_one_row_of_each_class(spark, sf_dir):
+    def text(name):
+        return " ".join(f"{name}{k}" for k in range(60))
+
+    near = {n: text(n) + " end" for n in "abc"}
+    rows = [(1, text("a")), (5, text("b")), (5, near["a"]), (6, text("c")), (6, text("d")), (7, near["b"]), (None, text("e")), (None, text("e") + " end"), (None, text("f")), (None, near["c"]), (8, ""), (9, None), (9, None)]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    df = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], docs.schema).repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.join_near_duplicates(spark, df, sf_dir).collect()]
+    e = [t for d, t in got if d is None and t != text("f")]
+    assert len(e) == 1 and e[0] in (text("e"), text("e") + " end")
+    assert sorted((x for x in got if x[1] not in e), key=str) == sorted([(1, text("a")), (5, text("b")), (6, text("c")), (6, text("d")), (None, text("f")), (8, ""), (9, None)], key=str)

@@ -92,6 +92,7 @@ def _signed(batches: Iterator[pa.RecordBatch], width: int, runs: int, similarity
             {
                 "doc": batch.column("doc"), "set_id": pa.array([set_id(s) for s in sets], pa.int64()), "size": pa.array(sizes, pa.int64()), "signature": pa.array([x.tobytes() for x in signatures], pa.binary()),
                 "keys": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys[sizes > 0].ravel(), pa.int64())),
+                **{n: batch.column(n) for n in batch.schema.names if n not in ("doc", "text")},
             }
         )
 
@@ -251,7 +252,7 @@ def _shingles(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Reco
         yield pa.RecordBatch.from_pydict({"set_id": pa.array([set_id(s) for s in sets], pa.int64()), "shingles": pa.array([s.tobytes() for s in sets], pa.binary())})
 
 
-def jaccard_join(docs: DataFrame, width: int = 5, similarity: float = 0.8, recall: float = 0.999) -> DataFrame:
+def jaccard_join(docs: DataFrame, width: int = 5, similarity: float = 0.8, recall: float = 0.999, tell_rows: bool = False) -> DataFrame:
     """Class and number of links of every document whose shingle sets are alike.
 
     docs has doc_id and text; other columns are not read. Two documents are linked if the Jaccard similarity of their sets of
@@ -260,6 +261,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, similarity: float = 0.8, recal
     the same set, this one included), n_set_links (other sets that are linked to this one), n_links (other documents linked to this one, copies
     included). Texts without words, null or empty, are linked to none and are classes of their own. A null doc_id counts as the
     largest; rows that repeat a doc_id are documents of their own that share the id. An empty table gives an empty result.
+    With tell_rows, rows also have text_hash (xxhash64 of text, to find a row among others of its id) and class_set (a set that stands
+    for the class, other than class_id never shared by two classes; null for a text without words).
 
     Equal sets are one set from the start. Candidates are exact pairs of min-hash vectors within a node; links are verified on the
     whole sets, in the first node that a pair shares, so that none counts twice and no pair is emitted. Nodes above BUCKET
@@ -268,7 +271,8 @@ def jaccard_join(docs: DataFrame, width: int = 5, similarity: float = 0.8, recal
     runs = runs_for(recall, similarity)
     doc = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("doc")
     rows = docs.select(doc, "text")
-    signed = rows.mapInArrow(lambda b: _signed(b, width, runs, similarity), "doc long, set_id long, size long, signature binary, keys array<long>")
+    told, told_type = (rows.withColumn("text_hash", F.xxhash64("text")), ", text_hash long") if tell_rows else (rows, "")
+    signed = told.mapInArrow(lambda b: _signed(b, width, runs, similarity), "doc long, set_id long, size long, signature binary, keys array<long>" + told_type)
     signed = checkpointed(signed)
     sets = signed.where("size > 0").groupBy("set_id").agg(F.min("doc").alias("rep"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("keys").alias("keys"))
     sets = checkpointed(sets)
@@ -306,11 +310,12 @@ def jaccard_join(docs: DataFrame, width: int = 5, similarity: float = 0.8, recal
     linked = counts.join(sets.select("set_id", "rep"), "set_id")
     labels = components(linked.select(F.col("set_id").alias("id"), F.col("rep").alias("value")), links.select(F.col("set_id").alias("a"), F.col("root").alias("b")))
     known = sets.select("set_id", "rep", "copies").join(counts, "set_id", "left").join(labels.withColumnRenamed("id", "set_id"), "set_id", "left")
-    known = known.select(F.xxhash64("set_id").alias("key"), "rep", "copies", "n", "docs", F.coalesce("label.value", "rep").alias("class"))
-    out = signed.select("doc", F.when(F.col("size") > 0, F.xxhash64("set_id")).alias("key")).join(known, "key", "left")
+    known = known.select(F.xxhash64("set_id").alias("key"), "rep", "copies", "n", "docs", F.coalesce("label.value", "rep").alias("class"), *[F.coalesce("label.id", "set_id").alias("class_set")] * tell_rows)
+    out = signed.select("doc", *["text_hash"] * tell_rows, F.when(F.col("size") > 0, F.xxhash64("set_id")).alias("key")).join(known, "key", "left")
     shown = lambda c: F.nullif(c, F.lit(NO_ID))
     copies = F.coalesce("copies", F.lit(1).cast("long"))
     return out.select(
         shown(F.col("doc")).alias("doc_id"), shown(F.coalesce("class", "doc")).alias("class_id"), shown(F.coalesce("rep", "doc")).alias("copy_of"), copies.alias("n_copies"),
         F.coalesce("n", F.lit(0).cast("long")).alias("n_set_links"), (copies - 1 + F.coalesce("docs", F.lit(0).cast("long"))).alias("n_links"),
+        *["text_hash", "class_set"] * tell_rows,
     )
