@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone.
 SLICE_BYTES = 2_000_000
@@ -56,12 +57,14 @@ def words_of(texts: list[bytes]) -> Words:
 
 
 def text_slices(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Parts of the batches of at most about SLICE_BYTES, with their texts as bytes; null texts are empty."""
+    """Parts of the batches of at most about SLICE_BYTES, with their texts as bytes; null texts are empty. Only a part's texts are
+    copied at once."""
     for batch in batches:
-        texts = [x or b"" for x in batch.column(name).cast(pa.binary()).to_pylist()]
-        begin = held = 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= SLICE_BYTES or i + 1 == len(texts):
-                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-                begin, held = i + 1, 0
+        column = batch.column(name).cast(pa.binary())
+        ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        begin = 0
+        while begin < batch.num_rows:
+            held = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, held + SLICE_BYTES, "right")))
+            yield batch.slice(begin, end - begin), [x or b"" for x in column.slice(begin, end - begin).to_pylist()]
+            begin = end
