@@ -8,73 +8,180 @@ import hashlib
 import io
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import small_side
+from tidemark.llm.common import checkpointed, ship, small_side, text_key
+from tidemark.sources.folders import file_system
 
 #: Payloads below this are stored again rather than revisited.
 MIN_REVISIT_BYTES = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORD_SCHEMA = "record_id string, type string, concurrent_to string, uri string, date string, refers_to string, payload_digest string, payload_bytes long, payload string, fields map<string,string>"
+DATE = "2024-01-01T00:00:00Z"
+RECORD_SCHEMA = (
+    "record_id string, type string, concurrent_to string, uri string, date string, refers_to string, "
+    "payload_digest string, payload_bytes long, payload string, fields map<string,string>"
+)
+_ARROW = pa.schema(
+    [
+        *[(n, pa.string()) for n in ("record_id", "type", "concurrent_to", "uri", "date", "refers_to", "payload_digest")],
+        ("payload_bytes", pa.int64()),
+        ("payload", pa.string()),
+        ("fields", pa.map_(pa.string(), pa.string())),
+    ]
+)
+#: Bytes that Python hands over at once.
+PART_BYTES = 8_000_000
 
 
-def _record_id(kind: str) -> Column:
-    h = F.md5(F.concat_ws(":", F.lit(kind), F.coalesce(F.col("page_id").cast("string"), F.lit("null")), "digest", F.coalesce("url", F.lit("")), F.col("nth").cast("string")))
-    return F.concat(F.lit("<urn:uuid:"), F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
+def _record_id(kind: str, key: Column, nth: Column) -> Column:
+    h = F.md5(F.concat_ws(":", F.lit(kind), key, nth.cast("string")))
+    uuid = F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))
+
+
+def _capture_key(page_id: Column, url: Column, digest: Column) -> Column:
+    return F.md5(F.concat_ws("|", text_key(page_id), digest, text_key(url)))
 
 
 def deduplicated(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """pages (page_id, url, html) with payload, payload_bytes, digest, nth, record_id and, for revisits, refers_id.
+    """pages (page_id, url, html) with payload, payload_bytes, digest, capture_key, nth and, for revisits, refers_id.
 
     Of rows with equal payloads of at least min_bytes, the one with the largest page_id holds the payload; among rows that repeat that
-    page_id it is the first by url. A null page_id counts as the smallest.
+    page_id it is the first by url. A null page_id counts as the smallest. Rows that repeat page_id, url and payload are told apart
+    by nth. Who holds what is settled on ids and digests alone; payloads are shuffled only for rows that repeat all three.
     """
     payload = F.coalesce(F.col("html"), F.lit(""))
-    rows = pages.select("page_id", "url", payload.alias("payload")).withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "digest": F.sha1(F.col("payload").cast("binary"))})
-    slim = rows.select("page_id", "url", "payload_bytes", "digest").where(F.col("payload_bytes") >= min_bytes)
-    best = F.struct(F.col("page_id").isNotNull().alias("known"), "page_id")
-    owner = slim.groupBy("digest").agg(F.count("*").alias("n"), F.max(best)["page_id"].alias("owner")).where(F.col("n") > 1)
-    first_url = slim.join(owner, "digest").where(F.col("page_id").eqNullSafe(F.col("owner"))).groupBy("digest", "owner").agg(F.min(F.struct(F.col("url").isNotNull().alias("known"), "url"))["url"].alias("owner_url"))
-    owners = small_side(first_url.withColumn("digest_key", F.concat(F.lit("k"), "digest")).drop("digest"))
+    rows = pages.select("page_id", "url", payload.alias("payload"))
+    rows = rows.withColumns({"payload_bytes": F.octet_length("payload").cast("long"), "digest": F.sha1(F.col("payload").cast("binary"))})
+    slim = checkpointed(rows.select("page_id", "url", "payload_bytes", "digest"))
+    by_page = slim.where(F.col("payload_bytes") >= min_bytes).groupBy("digest", "page_id")
+    by_page = by_page.agg(F.count("*").alias("n"), F.min(F.struct(F.col("url").isNotNull().alias("known"), "url"))["url"].alias("url"))
+    best = F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", "url")).alias("best")
+    owners = by_page.groupBy("digest").agg(F.sum("n").alias("n"), best).where(F.col("n") > 1)
+    owner_key = _capture_key(F.col("best.page_id"), F.col("best.url"), F.col("digest"))
+    owners = small_side(owners.select(F.concat(F.lit("k"), "digest").alias("digest_key"), owner_key.alias("owner_key")))
+
+    key = _capture_key(F.col("page_id"), F.col("url"), F.col("digest")).alias("capture_key")
+    repeats = checkpointed(slim.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1).select("capture_key"))
+    rows = rows.withColumn("capture_key", _capture_key(F.col("page_id"), F.col("url"), F.col("digest")))
+    if repeats.limit(1).count():
+        side = small_side(repeats)
+        same = ("page_id", "url", "payload_bytes", "digest", "capture_key")
+        again = rows.join(side, "capture_key", "left_semi").groupBy(*same).agg(F.first("payload").alias("payload"), F.count("*").alias("n"))
+        again = again.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n"))).drop("n")
+        rows = rows.join(side, "capture_key", "left_anti").withColumn("nth", F.lit(1).cast("long")).unionByName(again)
+    else:
+        rows = rows.withColumn("nth", F.lit(1).cast("long"))
     rows = rows.withColumn("digest_key", F.when(F.col("payload_bytes") >= min_bytes, F.concat(F.lit("k"), "digest"))).join(owners, "digest_key", "left")
-    rows = rows.withColumn("nth", F.row_number().over(Window.partitionBy("page_id", "digest", "url").orderBy("payload_bytes")))
-    holds = F.col("digest_key").isNull() | F.col("owner_url").isNull() & F.col("owner").isNull() | F.col("page_id").eqNullSafe(F.col("owner")) & F.col("url").eqNullSafe(F.col("owner_url")) & (F.col("nth") == 1)
-    owner_id = F.md5(F.concat_ws(":", F.lit("response"), F.coalesce(F.col("owner").cast("string"), F.lit("null")), "digest", F.coalesce("owner_url", F.lit("")), F.lit("1")))
-    owner_id = F.concat(F.lit("<urn:uuid:"), F.regexp_replace(owner_id, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"), F.lit(">"))
-    return rows.withColumns({"record_id": _record_id("response"), "refers_id": F.when(~holds, owner_id)})
+    holds = F.col("owner_key").isNull() | (F.col("owner_key") == F.col("capture_key")) & (F.col("nth") == 1)
+    return rows.withColumn("refers_id", F.when(~holds, _record_id("response", F.col("owner_key"), F.lit(1)))).drop("digest_key", "owner_key")
 
 
-def records(captures: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def records(captures: DataFrame, date: str = DATE) -> DataFrame:
     """Request, response or revisit, and metadata record of each capture, as text without the two closing line ends."""
     uri = F.regexp_replace(F.regexp_replace("url", "\r", "%0D"), "\n", "%0A")
 
-    def record(kind: Column | str, record_id: Column, headers: list[Column], content_type: str, block: Column) -> Column:
-        lines = [F.lit("WARC/1.1"), F.concat(F.lit("WARC-Type: "), kind if isinstance(kind, Column) else F.lit(kind)), F.concat(F.lit("WARC-Record-ID: "), record_id), F.lit(f"WARC-Date: {date}"), F.concat(F.lit("WARC-Target-URI: "), uri), *headers, F.lit(f"Content-Type: {content_type}"), F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))]
+    def named(name: str, value: Column) -> Column:
+        return F.concat(F.lit(f"{name}: "), value)
+
+    def record(kind: Column, record_id: Column, headers: list[Column], content_type: str, block: Column) -> Column:
+        lines = [
+            F.lit("WARC/1.1"),
+            named("WARC-Type", kind),
+            named("WARC-Record-ID", record_id),
+            F.lit(f"WARC-Date: {date}"),
+            named("WARC-Target-URI", uri),
+            *headers,
+            F.lit(f"Content-Type: {content_type}"),
+            named("Content-Length", F.octet_length(block).cast("string")),
+        ]
         return F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), block)
 
+    own = {kind: _record_id(kind, F.col("capture_key"), F.col("nth")) for kind in ("request", "response", "metadata")}
     target = F.coalesce(F.regexp_extract(uri, r"://[^/?#]*([^#]*)", 1), F.lit(""))
-    request = F.concat(F.lit("GET "), F.when(target == "", F.lit("/")).otherwise(target), F.lit(" HTTP/1.1\r\nHost: "), F.coalesce(F.regexp_extract(uri, r"://([^/?#]*)", 1), F.lit("")), F.lit("\r\n\r\n"))
+    host = F.coalesce(F.regexp_extract(uri, r"://([^/?#]*)", 1), F.lit(""))
+    request = F.concat(F.lit("GET "), F.when(target == "", F.lit("/")).otherwise(target), F.lit(" HTTP/1.1\r\nHost: "), host, F.lit("\r\n\r\n"))
     head = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("payload_bytes").cast("string"), F.lit("\r\n\r\n"))
     revisit = F.col("refers_id").isNotNull()
-    concurrent = F.concat(F.lit("WARC-Concurrent-To: "), F.col("record_id"))
+    concurrent = named("WARC-Concurrent-To", own["response"])
     digest = F.concat(F.lit("WARC-Payload-Digest: sha1:"), F.col("digest"))
-    refers = [F.when(revisit, F.concat(F.lit("WARC-Refers-To: "), F.col("refers_id"))), F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}"))]
+    refers = [F.when(revisit, named("WARC-Refers-To", F.col("refers_id"))), F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}"))]
     block = F.when(revisit, head).otherwise(F.concat(head, F.col("payload")))
-    fields = F.when(F.col("page_id").isNotNull(), F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\n"))).otherwise(F.lit(""))
+    fields = F.coalesce(F.concat(F.lit("page-id: "), F.col("page_id").cast("string"), F.lit("\r\n")), F.lit(""))
+    kind = F.when(revisit, "revisit").otherwise("response")
     three = F.array(
-        record("request", _record_id("request"), [concurrent], "application/http;msgtype=request", request),
-        record(F.when(revisit, "revisit").otherwise("response"), F.col("record_id"), [digest, *refers], "application/http;msgtype=response", block),
-        record("metadata", _record_id("metadata"), [concurrent], "application/warc-fields", fields),
+        record(F.lit("request"), own["request"], [concurrent], "application/http;msgtype=request", request),
+        record(kind, own["response"], [digest, *refers], "application/http;msgtype=response", block),
+        record(F.lit("metadata"), own["metadata"], [concurrent], "application/warc-fields", fields),
     )
     return captures.select(F.explode(three).alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str, max_records: int = 30_000) -> None:
-    """Archives of pages under path, gzip-compressed WARC 1.1 files of at most max_records records each. The text sink ends each
-    record with two line ends, as the format asks; payloads are counted in UTF-8 bytes."""
-    records(deduplicated(pages)).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", max_records).mode("overwrite").text(path)
+def _info(first: bytes, date: str) -> bytes:
+    """The record that opens an archive; its id comes from the record after it."""
+    h = hashlib.md5(b"warcinfo:" + first).hexdigest()
+    block = b"software: tidemark\r\nformat: WARC File Format 1.1\r\n"
+    lines = (
+        "WARC/1.1",
+        "WARC-Type: warcinfo",
+        f"WARC-Record-ID: <urn:uuid:{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}>",
+        f"WARC-Date: {date}",
+        "Content-Type: application/warc-fields",
+        f"Content-Length: {len(block)}",
+    )
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
+
+
+#: The text sink ends each row with this byte, and so does a gzip member of less than 16 MB: the highest byte of its length.
+LAST_BYTE = "\0"
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+
+
+def gzip_member(record: bytes) -> bytes:
+    """The record and its two closing line ends as a gzip member that ends with a zero byte; longer ones get an empty member behind."""
+    member = gzip.compress(record + b"\r\n\r\n", 6, mtime=0)
+    return member if member[-1] == 0 else member + EMPTY_MEMBER
+
+
+def _members(batches: Iterator[pa.RecordBatch], max_records: int, date: str) -> Iterator[pa.RecordBatch]:
+    n, out, held = 0, [], 0
+    for batch in batches:
+        for value in batch.column("value").cast(pa.binary()):
+            record = value.as_py()
+            for x in ([_info(record, date)] if n % max_records == 0 else []) + [record]:
+                out.append(gzip_member(x)[:-1])
+                held += len(out[-1])
+                n += 1
+            if held >= PART_BYTES:
+                yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+                out, held = [], 0
+    if out:
+        yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
+
+
+def write_warc(pages: DataFrame, path: str, max_records: int = 30_000, date: str = DATE) -> None:
+    """Archives of pages under path: WARC 1.1 files named .warc.gz, each of at most max_records (2 or more) records, the first a warcinfo, and
+    every record a gzip member of its own. Payloads are counted in UTF-8 bytes. What was under path goes; an empty table writes no archive.
+
+    Spark's text sink writes the members, so any store that Spark reaches will do; the driver renames the files when the job is done.
+    """
+    spark = pages.sparkSession
+    ship(spark)
+    members = records(deduplicated(pages), date).mapInArrow(lambda b: _members(b, max_records, date), "value binary")
+    # a string of Spark's is bytes, and the sink writes them as they are
+    rows = members.select(F.col("value").cast("string").alias("value")).write.mode("overwrite")
+    rows.option("lineSep", LAST_BYTE).option("compression", "none").option("maxRecordsPerFile", max_records).text(path)
+    system, folder = file_system(spark, path)
+    for status in system.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.startswith("part-"):
+            continue
+        if status.getLen() == 0:
+            system.delete(status.getPath(), False)
+        elif not system.rename(status.getPath(), spark._jvm.org.apache.hadoop.fs.Path(folder, name.removesuffix(".txt") + ".warc.gz")):
+            raise OSError(f"{name} can't be renamed")
 
 
 def _measured(headers: dict[str, str], head: bytes, body: bytes) -> str:
@@ -119,43 +226,59 @@ def parse(stream) -> Iterator[dict]:
         }
 
 
-def _parse_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _parse_files(batches: Iterator[pa.RecordBatch], payloads: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for content in batch["content"]:
-            raw = io.BytesIO(content)
-            stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if content[:2] == b"\x1f\x8b" else raw
+        for content in batch.column("content"):
+            raw = io.BytesIO(memoryview(content.as_buffer()))
+            stream = io.BufferedReader(gzip.GzipFile(fileobj=raw)) if raw.getbuffer()[:2] == b"\x1f\x8b" else raw
             rows, held = [], 0
             for row in parse(stream):
+                if not payloads:
+                    row["payload"] = None
+                row["fields"] = list(row["fields"].items())
                 rows.append(row)
                 held += len(row["payload"] or "")
-                if len(rows) >= 2000 or held > 16_000_000:
-                    yield pd.DataFrame(rows, columns=list(row)).astype({"payload_bytes": "Int64"})
+                if len(rows) >= 5000 or held > PART_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
                     rows, held = [], 0
             if rows:
-                yield pd.DataFrame(rows, columns=list(rows[0])).astype({"payload_bytes": "Int64"})
+                yield pa.RecordBatch.from_pylist(rows, _ARROW)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives under path. A file is read as a stream by one task."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path)
-    return files.select("content").mapInPandas(_parse_files, RECORD_SCHEMA)
+def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row per record of the archives (.warc, .gz) under path. A file is read as a stream by one task. Without payloads they are
+    measured and left out."""
+    ship(spark)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "{*.gz,*.warc}").load(path)
+    return files.select("content").mapInArrow(lambda b: _parse_files(b, payloads), RECORD_SCHEMA)
 
 
 def assemble(found: DataFrame) -> DataFrame:
-    """One nested row per capture: the request and metadata records join the response or revisit that they are concurrent to.
+    """One nested row per capture: the request and metadata records meet the response or revisit that they are concurrent to.
 
     Columns: record_id, type, uri, date, payload_digest, payload_bytes, payload (null for revisits), refers_to (a record
     id), request (struct of record_id and uri), metadata (its fields). Captures without a request or metadata record have nulls there;
-    records that belong to no capture are left out, and of several requests the one with the least id stays. Repeated records make repeated captures only if the response itself repeats.
+    records that belong to no capture are left out, of several requests or metadata records the one with the least id stays, and
+    records that repeat an id count once. All records of a capture meet in one exchange, by its id.
     """
-    main = found.where(F.col("type").isin("response", "revisit")).drop("fields", "concurrent_to")
-    request = found.where(F.col("type") == "request").groupBy(F.col("concurrent_to").alias("record_id")).agg(F.min(F.struct("record_id", "uri")).alias("request"))
-    metadata = found.where(F.col("type") == "metadata").select(F.col("concurrent_to").alias("record_id"), F.col("record_id").alias("id"), "fields").groupBy("record_id").agg(F.min_by("fields", "id").alias("metadata"))
-    return main.join(request, "record_id", "left").join(metadata, "record_id", "left")
+    main = F.col("type").isin("response", "revisit")
+    own = found.withColumn("capture", F.when(main, F.col("record_id")).when(F.col("type").isin("request", "metadata"), F.col("concurrent_to")))
+    own = own.where(F.col("capture").isNotNull())
+    columns = ("type", "uri", "date", "payload_digest", "payload_bytes", "refers_to", "payload")
+    one = own.groupBy(F.col("capture").alias("record_id")).agg(
+        F.min(F.when(main, F.struct(*columns))).alias("main"),
+        F.min(F.when(F.col("type") == "request", F.struct("record_id", "uri"))).alias("request"),
+        F.min_by("fields", F.when(F.col("type") == "metadata", F.col("record_id"))).alias("metadata"),
+    )
+    return one.where(F.col("main").isNotNull()).select("record_id", "main.*", "request", "metadata")
 
 
 def with_pages(captures: DataFrame) -> DataFrame:
-    """captures with page_id and, for revisits, the page_id of the capture that they refer to."""
-    own = captures.withColumn("page_id", F.col("metadata")["page-id"].cast("long"))
+    """captures with page_id and, for revisits, the page_id of the capture that they refer to. captures is computed once and kept
+    in the checkpoint folder, so that the archives behind it are read once."""
+    own = checkpointed(captures.withColumn("page_id", F.col("metadata")["page-id"].cast("long")))
     target = own.where(F.col("type") == "response").select(F.concat(F.lit("r"), "record_id").alias("refers_key"), F.col("page_id").alias("refers_page"))
-    return own.withColumn("refers_key", F.concat(F.lit("r"), "refers_to")).join(target, "refers_key", "left").drop("refers_key")
+    # a response looks itself up, so that no key of many rows stands for those that refer to nothing
+    key = F.concat(F.lit("r"), F.coalesce("refers_to", "record_id"))
+    found = own.withColumn("refers_key", key).join(target, "refers_key", "left").drop("refers_key")
+    return found.withColumn("refers_page", F.when(F.col("refers_to").isNotNull(), F.col("refers_page")))
