@@ -2,77 +2,231 @@
 
 A sketch has three rows of cells; each digest is added to one cell of every row, as a count, the xor of the digests and the xor of
 their check hashes. Sketches of two versions subtract cell by cell, and peeling cells that hold a single digest recovers the
-digests in which the versions differ. Where the small sketch holds too many differences, the digests are dealt to segments
-with a sketch each, as many as the versions need, and a segment that still fails is tried again with larger tables. Built-in expressions only.
+digests in which the versions differ. A difference that can't be peeled is made again with larger rows.
+
+Cells are rows of a DataFrame: a digest is placed by three updates, cells are sums and xors by key, and a step of peeling replaces
+each pure cell of one row of the sketch by the digest found and two more updates. All rows of a document stay in one partition, so a
+whole peeling is one stage. Built-in expressions only; the longer ones are SQL text, which is read faster than it is put together.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import checkpointed
+
+BLANK = " \t\n\x0b\x0c\r"
 #: A paragraph: a line, or of a long line 160 characters and what is left of the last word.
 PARAGRAPH = r"[^\n]{1,160}[^\n ]*"
-#: Cells in a row of the fingerprint; of the larger tables that a segment is tried with; digests meant for a segment.
-CELLS, RETRIES, SEGMENT = 8, (8, 16), 10
-ROUNDS = 24
-CELL = "struct<n:int,k:bigint,c:bigint>"
+#: Least cells of a row of a sketch; cells of a row for each digest, at least; steps of peeling, three for each row; how much
+#: larger the rows of the next try are.
+CELLS, ROOM, STEPS, GROWTH = 8, 2, 9, 4
+LOWEST = -(1 << 63)
+#: Hashes of a digest that choose its cell in each row, and its check hash.
+PLACES = {f"h{r}": f"xxhash64(k, {r})" for r in range(3)}
+CHECK = "(xxhash64(k, 3) & 4294967295L)"
+
+
+@dataclass(frozen=True)
+class Difference:
+    """The sketch of the version plus less that of the version minus, under a name."""
+
+    name: str
+    plus: str
+    minus: str
 
 
 def digests(text: Column) -> Column:
     """Distinct 64-bit digests of the paragraphs of text, in any order."""
-    parts = F.filter(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda x: F.btrim(x, F.lit(" \t\n\x0b\x0c\r")) != "")
-    return F.array_distinct(F.transform(parts, lambda x: F.xxhash64(F.btrim(x, F.lit(" \t\n\x0b\x0c\r")))))
+    parts = F.transform(F.regexp_extract_all(text, F.lit(PARAGRAPH), F.lit(0)), lambda x: F.btrim(x, F.lit(BLANK)))
+    return F.array_distinct(F.transform(F.filter(parts, lambda x: x != ""), lambda x: F.xxhash64(x)))
+
 
+def cells_for(n: Column) -> Column:
+    """Cells of a row for n digests: the least of 8, 12, 16, 24, 32, 48 and so on that isn't below ROOM * n."""
+    least = F.greatest(ROOM * n.cast("long"), F.lit(CELLS).cast("long"))
+    power = F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(least - 1)))
+    less = F.call_function("div", power * 3, F.lit(4).cast("long"))
+    return F.when((less >= least) & (power > CELLS), less).otherwise(power)
 
-def _let(value: Column, use) -> Column:
-    """use(value), with value computed once."""
-    return F.get(F.transform(F.array(value), use), 0)
 
+def _place(row: int, m: str, h: str) -> str:
+    return f"{row} * {m} + pmod({h}, {m})"
 
-def _places(cells: int) -> Column:
-    """Of each cell of three rows: the bits of a digest that choose a cell in its row, by their shift, and its slot there."""
-    return F.array(*[F.struct(F.lit(20 * row).alias("shift"), F.lit(slot).cast("long").alias("slot")) for row in range(3) for slot in range(cells)])
 
+def _struct(**values: str) -> str:
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in values.items()) + ")"
 
-def _hit(key: Column, place: Column, cells: int) -> Column:
-    """Whether a digest belongs to a cell; cells, a power of two, are those of a row."""
-    return F.call_function("shiftrightunsigned", key, place["shift"]).bitwiseAND(F.lit(cells - 1).cast("long")) == place["slot"]
 
+def _cell(t: str, m: str, cell: str, n: str, k: str = "k", c: str = "c", sign: str = "0L", found: str = "0L") -> str:
+    """A cell or an update of one: table, cells in a row, place; count and xors; a digest found there, with its sign."""
+    return _struct(t=t, m=m, cell=cell, n=n, k=k, c=c, sign=sign, found=found)
 
-def _add(cell: Column, n: Column, key: Column) -> Column:
-    return F.struct((cell["n"] + n).alias("n"), cell["k"].bitwiseXOR(key).alias("k"), cell["c"].bitwiseXOR(F.xxhash64(key)).alias("c"))
 
+def _folded(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Cells from updates; empty ones go. The row with the payload, of cell -1, stays."""
+    sums = [F.expr(f"{'sum' if n in ('n', 'sign') else 'bit_xor'}({n}) AS {n}") for n in ("n", "k", "c", "sign", "found")]
+    return rows.groupBy(*keys, "payload", "t", "m", "cell").agg(*sums).where("cell < 0 OR n <> 0 OR k <> 0 OR c <> 0 OR sign <> 0")
 
-def sketch(keys: Column, cells: int = CELLS) -> Column:
-    """Sketch of an array of structs (s, k): sign and digest."""
-    zero = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("k"), F.lit(0).cast("long").alias("c")).cast(CELL)
-    return F.transform(_places(cells), lambda i: F.aggregate(keys, zero, lambda acc, x: F.when(_hit(x["k"], i, cells), _add(acc, x["s"], x["k"])).otherwise(acc)))
 
+def _peeled(cells: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Cells after all steps of peeling. A pure cell of one row of a sketch holds a digest that no other cell of that row holds, so
+    nothing is taken away twice; it keeps the digest, with its sign, in found."""
+    for step in range(STEPS):
+        row = step % 3
+        pure = f"abs(n) = 1 AND cell >= {row} * m AND cell < {row + 1} * m AND c = {CHECK} AND cell = {_place(row, 'm', PLACES[f'h{row}'])}"
+        others = [_cell("t", "m", _place(r, "m", PLACES[f"h{r}"]), "-n") for r in range(3) if r != row]
+        parts = ", ".join([_cell("t", "m", "cell", "0L", "0L", "0L", "n", "k"), *others])
+        same = _cell("t", "m", "cell", "n", "k", "c", "sign", "found")
+        cells = _folded(cells.selectExpr(*keys, "payload", f"inline(CASE WHEN {pure} THEN array({parts}) ELSE array({same}) END)"), keys)
+    return cells
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c")))
 
+def _collected(cells: DataFrame, keys: tuple[str, ...], names: list[str]) -> DataFrame:
+    """A row for each key: payload, and for each difference by name struct(plus, minus), the digests that only one side has; null if
+    peeling left something."""
+    found = ["first(payload, true) AS payload"]
+    for t, name in enumerate(names):
+        found.append(f"max(CASE WHEN t = {t} AND (n <> 0 OR k <> 0 OR c <> 0) THEN true END) AS {name}_left")
+        found += [f"collect_list(CASE WHEN t = {t} AND sign = {sign} THEN found END) AS {name}_{side}" for side, sign in (("plus", 1), ("minus", -1))]
+    done = [f"CASE WHEN {name}_left IS NULL THEN {_struct(plus=f'{name}_plus', minus=f'{name}_minus')} END AS {name}" for name in names]
+    return cells.groupBy(*keys).agg(*map(F.expr, found)).selectExpr(*keys, "payload", *done)
 
-def peel(difference: Column, cells: int = CELLS) -> Column:
-    """Struct (ok, plus, minus): whether peeling empties the sketch, and how many digests only the first and only the second has."""
-    start = F.struct(difference.alias("cells"), F.lit(0).alias("plus"), F.lit(0).alias("minus"), F.lit(True).alias("live"))
 
-    def step(state: Column, pure: Column) -> Column:
-        rest = F.zip_with(state["cells"], _places(cells), lambda c, i: F.aggregate(pure, c, lambda acc, x: F.when(_hit(x["k"], i, cells), _add(acc, -x["n"], x["k"])).otherwise(acc)))
-        found = F.size(F.filter(pure, lambda x: x["n"] > 0))
-        return F.struct(rest.alias("cells"), (state["plus"] + found).alias("plus"), (state["minus"] + F.size(pure) - found).alias("minus"), (F.size(pure) > 0).alias("live"))
+def _with_digests(rows: DataFrame, keys: tuple[str, ...], versions: tuple[str, ...], carried: list[str]) -> DataFrame:
+    """A row for each digest k of each version, by its number, with its hashes; and one of version -1 with carried as payload."""
+    kinds = [_struct(version=str(i), ks=v) for i, v in enumerate(versions)] + [_struct(version="-1", ks="array(0L)")]
+    payload = _struct(**{c: c for c in carried})
+    each = rows.selectExpr(*keys, f"{payload} AS payload", *[c for c in rows.columns if c.startswith("m_")], f"inline(array({', '.join(kinds)}))")
+    each = each.selectExpr("* EXCEPT (payload, ks)", "CASE WHEN version < 0 THEN payload END AS payload", "explode(ks) AS k")
+    return each.selectExpr("*", *[f"{h} AS {name}" for name, h in PLACES.items()], f"{CHECK} AS c")
 
-    def around(state: Column, _: Column) -> Column:
-        single = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (c["c"] == F.xxhash64(c["k"])))
-        pure = F.array_distinct(F.transform(single, lambda c: F.struct(c["n"].alias("n"), c["k"].alias("k"))))
-        return F.when(state["live"], _let(pure, lambda p: step(state, p))).otherwise(state)
 
-    def close(state: Column) -> Column:
-        empty = F.forall(state["cells"], lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["c"] == 0))
-        return F.struct(empty.alias("ok"), state["plus"].alias("plus"), state["minus"].alias("minus"))
+NO_CELL = _cell("-1", "-1L", "-1L", "0L", "0L", "0L")
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, around, close)
+
+def _attempt(rows: DataFrame, keys: tuple[str, ...], versions: tuple[str, ...], differences: list[Difference], tried: int) -> DataFrame:
+    """rows, with the differences that they lack made and peeled, in rows of cells GROWTH ** tried times those of the larger version."""
+    names, carried = [d.name for d in differences], [c for c in rows.columns if c not in keys]
+    for d in differences:
+        size = cells_for(F.greatest(F.size(d.plus), F.size(d.minus)))
+        rows = rows.withColumn(f"m_{d.name}", F.when(F.col(d.name).isNull(), size * GROWTH**tried))
+    cases = []
+    for i, version in enumerate(versions):
+        updates = []
+        for t, d in enumerate(differences):
+            for sign, side in (("1L", d.plus), ("-1L", d.minus)):
+                updates += [_cell(str(t), f"m_{d.name}", _place(r, f"m_{d.name}", f"h{r}"), sign) for r in range(3) if side == version]
+        cases.append(f"WHEN version = {i} THEN array({', '.join(updates)})")
+    each = _with_digests(rows, keys, versions, carried)
+    cells = each.selectExpr(*keys, "payload", f"inline(CASE {' '.join(cases)} ELSE array({NO_CELL}) END)").where("m IS NOT NULL")
+    out = _collected(_peeled(_folded(cells, keys), keys), keys, names)
+    kept = [f"coalesce(payload.{c}, {c}) AS {c}" if c in names else f"payload.{c}" for c in carried]
+    return out.selectExpr(*keys, *kept)
+
+
+def peeled_differences(rows: DataFrame, keys: tuple[str, ...], versions: tuple[str, ...], differences: list[Difference]) -> list[DataFrame]:
+    """rows (keys, versions: arrays of distinct digests, maybe more) with a column for each difference: struct(plus, minus), the
+    digests that only one of its versions has. They come in parts, one for each try, which together have every row once.
+
+    keys together are unique, and rows of a key's first column are in one partition; this holds in each part too. What can't be
+    peeled is tried again with larger rows until nothing is left; each try is computed once and kept in the checkpoint folder.
+    """
+    finished = " AND ".join(f"{d.name} IS NOT NULL" for d in differences)
+    rows = rows.selectExpr("*", *[f"CAST(NULL AS struct<plus:array<bigint>,minus:array<bigint>>) AS {d.name}" for d in differences])
+    done: list[DataFrame] = []
+    while True:
+        out = checkpointed(_attempt(rows, keys, versions, differences, len(done)))
+        done.append(out.where(finished))
+        rows = out.where(f"NOT ({finished})")
+        if not rows.limit(1).count():
+            return done
+        rows = rows.repartition(keys[0])
+
+
+def _hex(value: str, digits: int) -> str:
+    """The lowest digits of value, as that many hexadecimal digits."""
+    return f"lpad(hex({value if digits == 16 else f'{value} & {(1 << 4 * digits) - 1}L'}), {digits}, '0')"
+
+
+def with_sketches(rows: DataFrame, keys: tuple[str, ...], versions: tuple[str, ...]) -> DataFrame:
+    """rows with the fingerprint of each version, in a column of its name and _sketch: in base 64, the cells in a row and the digests of its
+    sketch (4 bytes each), and its non-empty cells in rising order with their place (4), count (2), xor of digests (8) and of
+    check hashes (4). keys and partitions are as in peeled_differences."""
+    carried = [c for c in rows.columns if c not in keys]
+    rows = rows.withColumns({f"m_{v}": cells_for(F.size(v)) for v in versions})
+    updates = []
+    for i, v in enumerate(versions):
+        three = ", ".join(_struct(t=str(i), cell=_place(r, f"m_{v}", f"h{r}"), n="1L", k="k", c="c") for r in range(3))
+        updates.append(f"WHEN version = {i} THEN array({three})")
+    last = _struct(t="-1", cell="-1L", n="0L", k="0L", c="0L")
+    each = _with_digests(rows, keys, versions, [*carried, *[f"m_{v}" for v in versions]])
+    cells = each.selectExpr(*keys, "payload", f"inline(CASE {' '.join(updates)} ELSE array({last}) END)")
+    cells = cells.groupBy(*keys, "payload", "t", "cell").agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
+    entry = f"concat({_hex('cell', 8)}, {_hex('n', 4)}, {_hex('k', 16)}, {_hex('c', 8)})"
+    cells = cells.selectExpr(*keys, "payload", "t", f"CASE WHEN t >= 0 THEN {entry} END AS entry")
+    lists = [F.expr(f"collect_list(CASE WHEN t = {i} THEN entry END) AS entries_{i}") for i in range(len(versions))]
+    out = cells.groupBy(*keys).agg(F.expr("first(payload, true) AS payload"), *lists)
+    texts = []
+    for i, v in enumerate(versions):
+        head = f"{_hex(f'payload.m_{v}', 8)}, {_hex(f'CAST(size(payload.{v}) AS BIGINT)', 8)}"
+        text = f"base64(unhex(concat({head}, array_join(sort_array(entries_{i}), ''))))"
+        texts.append(F.replace(F.expr(text), F.lit("\r\n"), F.lit("")).alias(f"{v}_sketch"))
+    return out.select(*keys, *[F.col(f"payload.{c}") for c in carried], *texts)
+
+
+def decoded(fingerprint: Column) -> Column:
+    """Struct (m, size, cells: array of struct (cell, n, k, c)) of a fingerprint's text."""
+    digits = F.hex(F.unbase64(fingerprint))
+
+    def number(at: Column | int, n: int) -> Column:
+        return F.conv(F.substring(digits, F.lit(at) if isinstance(at, int) else at, F.lit(n)), 16, -10).cast("long")
+
+    def cell(i: Column) -> Column:
+        at = 17 + 36 * i
+        n = number(at + 8, 4)
+        return F.struct(number(at, 8).alias("cell"), F.when(n > 32767, n - 65536).otherwise(n).alias("n"), number(at + 12, 16).alias("k"), number(at + 28, 8).alias("c"))
+
+    count = F.call_function("div", F.length(digits) - 16, F.lit(36)).cast("int")
+    every = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), cell)).otherwise(F.array().cast("array<struct<cell:bigint,n:bigint,k:bigint,c:bigint>>"))
+    return F.struct(number(1, 8).alias("m"), number(9, 8).alias("size"), every.alias("cells"))
+
+
+def _peeled_text(rows: DataFrame, plus: str, minus: str | None) -> DataFrame:
+    """(id, found): the digests that only the decoded fingerprint plus has and only minus has; null if peeling fails."""
+    parts = [f"struct(1L AS sign, {plus}.cells AS cells)"] + ([f"struct(-1L AS sign, {minus}.cells AS cells)"] if minus else [])
+    # a row of cell -1 stands for ids whose cells are all empty
+    parts.append("struct(0L AS sign, array(named_struct('cell', -1L, 'n', 0L, 'k', 0L, 'c', 0L)) AS cells)")
+    each = rows.repartition("id").selectExpr("id", f"{plus}.m AS m", f"inline(array({', '.join(parts)}))").selectExpr("id", "m", "sign", "inline(cells)")
+    cells = each.selectExpr("id", "CAST(NULL AS struct<none:int>) AS payload", "0 AS t", "m", "cell", "sign * n AS n", "k", "c", "0L AS sign", "0L AS found")
+    return _collected(_peeled(_folded(cells, ("id",)), ("id",)), ("id",), ["found"]).select("id", "found")
+
+
+def recovered(fingerprints: DataFrame) -> DataFrame:
+    """(id, digests) of fingerprints (id, unique; fingerprint, text): the digests that peeling recovers, null if it fails."""
+    rows = fingerprints.select("id", decoded(F.col("fingerprint")).alias("own"))
+    return _peeled_text(rows, "own", None).select("id", F.col("found.plus").alias("digests"))
+
+
+def differences(pairs: DataFrame) -> DataFrame:
+    """(id, plus, minus) of pairs (id, unique; a and b, texts of fingerprints): the digests that only a and only b has.
+
+    Fingerprints of equal rows of cells are subtracted and peeled. Where they are unequal or peeling fails, the digests that each gives by
+    itself are placed in larger sketches, which are subtracted and peeled. plus and minus are null if a fingerprint can't be peeled by itself.
+    """
+    rows = checkpointed(pairs.select("id", decoded(F.col("a")).alias("a"), decoded(F.col("b")).alias("b")))
+    first = checkpointed(rows.select("id").join(_peeled_text(rows.where("a.m = b.m"), "a", "b"), "id", "left"))
+    rest = rows.join(first.where("found IS NULL").select("id"), "id", "left_semi")
+    both = _peeled_text(rest, "a", None).selectExpr("id", "found.plus AS own").join(_peeled_text(rest, "b", None).selectExpr("id", "found.plus AS other"), "id")
+    both = checkpointed(both)
+    out = first.where("found IS NOT NULL").unionByName(both.where("own IS NULL OR other IS NULL").select("id", F.lit(None).cast(first.schema["found"].dataType).alias("found")))
+    whole = both.where("own IS NOT NULL AND other IS NOT NULL").repartition("id")
+    for part in peeled_differences(whole, ("id",), ("own", "other"), [Difference("found", "own", "other")]):
+        out = out.unionByName(part.select("id", "found"))
+    return out.select("id", "found.plus", "found.minus")
 
 
 def likeness(size_a: Column, size_b: Column, plus: Column) -> Column:
@@ -81,108 +235,97 @@ def likeness(size_a: Column, size_b: Column, plus: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise((size_a - plus) / union)
 
 
-def encoded(cells: Column) -> Column:
-    """A sketch as text: 14 bytes a cell in base 64."""
-    part = F.transform(cells, lambda c: F.concat(F.lpad(F.hex(c["n"].bitwiseAND(F.lit(65535)).cast("long")), 4, "0"), F.lpad(F.hex(c["k"]), 16, "0"), F.lpad(F.hex(c["c"].bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))), 8, "0")))
-    return F.replace(F.base64(F.unhex(F.array_join(part, ""))), F.lit("\r\n"), F.lit(""))
-
+def _order_key(doc_id: Column, text: Column) -> Column:
+    """16 bytes that sort by id, null first, and by a hash of the text."""
+    flip = F.lit(LOWEST).cast("long")
+    known = F.coalesce(doc_id, flip)
+    return F.unhex(F.concat(F.lpad(F.hex(known.bitwiseXOR(flip)), 16, "0"), F.lpad(F.hex(F.xxhash64(text).bitwiseXOR(flip)), 16, "0")))
 
-def _signed(keys: Column, sign: int) -> Column:
-    return F.transform(keys, lambda k: F.struct(F.lit(sign).alias("s"), k.alias("k")))
 
-
-def with_next(docs: DataFrame, extra=None, rows_per_range: int = 400, most_ranges: int = 16_384) -> DataFrame:
+def _bounds(docs: DataFrame, rows_per_range: int, most_ranges: int, per_range: int = 4) -> bytes:
+    """Order keys that cut docs into ranges of about rows_per_range rows, one behind the other, from a sample of ids. The rows of an id that
+    is found often are cut by the hash of their texts, which is uniform."""
+    ids = docs.select(F.coalesce(F.col("doc_id"), F.lit(LOWEST).cast("long")).alias("id"))
+    n = ids.count()
+    ranges = max(1, min(most_ranges, n // rows_per_range))
+    sample = ids.where(F.rand(17) < per_range * ranges / max(1, n)).groupBy("id").agg(F.count("*").alias("n"))
+    out, held = [], 0
+    for row in sorted(sample.collect()):  # about per_range * most_ranges rows at most
+        parts = max(1, row["n"] // per_range)
+        low = (row["id"] + (1 << 63)).to_bytes(8, "big")
+        if held >= per_range or parts > 1:
+            out.append(low + bytes(8))
+            held = 0
+        out += [low + ((i << 64) // parts).to_bytes(8, "big") for i in range(1, parts)]
+        held += row["n"] if parts == 1 else per_range
+    return b"".join(out)
+
+
+def with_next(docs: DataFrame, extra=None, rows_per_range: int = 400, most_ranges: int = 1 << 16) -> DataFrame:
     """(range, place, doc_id, text, next_text): every row with the text of the next one in descending doc_id, the first after the last.
     extra lists dictionaries of further columns, by name; they come with their values of the next row, named next_ and the name.
 
-    Null ids come last, rows of one id in the order of their texts' hashes; null texts are empty. Rows are dealt once to ranges of ids, of about equal
-    size, with a copy of the first row of the next range at each range's end; at most most_ranges bounds come to the driver. place
-    is the row's number in its range.
+    Null ids come last, rows of one id in the falling order of their texts' hashes; null texts are empty. Rows are dealt once to
+    ranges of about equal size, with a copy of the first row of the next range at each range's end; at most most_ranges bounds come to
+    the driver. place is the row's number in its range.
     """
-    order_id = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    ids = docs.select(order_id.alias("id"))
-    n = ids.count()
-    ranges = max(1, min(most_ranges, n // rows_per_range))
-    bounds: list[int] = []
-    if ranges > 1:
-        at = [i / ranges for i in range(1, ranges)]
-        bounds = sorted(set(ids.agg(F.percentile_approx("id", F.array(*map(F.lit, at)) if len(at) < 200 else F.expr(f"array({','.join(map(repr, at))})"), 20 * ranges)).first()[0]))
-    steps = len(bounds).bit_length()
-    literal = F.expr(f"array({','.join(f'{b}L' if b > -(1 << 63) else '(-9223372036854775807L - 1L)' for b in bounds)})") if bounds else F.array().cast("array<bigint>")
-
-    def range_of(i: Column) -> Column:
-        if not bounds:
+    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    rows = rows.withColumn("order_key", _order_key(F.col("doc_id"), F.col("text")))
+    bounds = _bounds(docs, rows_per_range, most_ranges)
+    count = len(bounds) // 16
+    literal, powers = F.lit(bytearray(bounds)), F.array(*[F.lit(1 << s) for s in reversed(range(count.bit_length()))])
+
+    def range_of(key: Column) -> Column:
+        """Number of bounds that aren't above key."""
+        if not count:
             return F.lit(0)
-        powers = F.array(*[F.lit(1 << s) for s in reversed(range(steps))])
-        return F.aggregate(powers, F.lit(0), lambda low, p: F.when(F.get(literal, low + p - 1) <= i, low + p).otherwise(low))
+        bound = lambda i: F.substring(literal, 16 * i + 1, F.lit(16))
+        return F.aggregate(powers, F.lit(0), lambda low, p: F.when((low + p <= count) & (bound(low + p - 1) <= key), low + p).otherwise(low))
 
-    heads = ids.groupBy(range_of(F.col("id")).alias("range")).agg(F.max("id").alias("head")).collect()  # at most most_ranges rows
+    heads = rows.select("order_key").groupBy(range_of(F.col("order_key")).alias("range")).agg(F.max("order_key").alias("head")).collect()  # a row for each range
     heads.sort(key=lambda r: -r["range"])
     takes = [(r["head"], heads[i - 1]["range"]) for i, r in enumerate(heads)]  # the first range's head goes behind the last range
-    takes = docs.sparkSession.createDataFrame(takes, "head long, to int")
-    rows = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), order_id.alias("id"))
-    rows = rows.join(F.broadcast(takes), F.col("id") == F.col("head"), "left")
-    own = F.struct(range_of(F.col("id")).alias("range"), F.lit(False).alias("copy"))
-    rows = rows.withColumn("place", F.explode(F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("to").alias("range"), F.lit(True).alias("copy"))))))
-    rows = rows.select("doc_id", "text", "id", "place.range", "place.copy").repartition(F.col("range")).withColumn("text_order", F.xxhash64("text"))
+    takes = docs.sparkSession.createDataFrame(takes, "head binary, to int")
+    rows = rows.join(F.broadcast(takes), F.col("order_key") == F.col("head"), "left")
+    own = F.struct(range_of(F.col("order_key")).alias("range"), F.lit(False).alias("copy"))
+    copy = F.struct(F.col("to").alias("range"), F.lit(True).alias("copy"))
+    rows = rows.withColumn("place", F.explode(F.when(F.col("to").isNull(), F.array(own)).otherwise(F.array(own, copy))))
+    rows = rows.select("doc_id", "text", "order_key", "place.range", "place.copy").repartition(F.col("range"))
     more = list(extra) if extra else []
     for step in more:
         rows = rows.withColumns(step)
     names = ["text", *(n for step in more for n in step)]
-    order = Window.partitionBy("range").orderBy("copy", F.col("id").desc(), "text_order")
+    order = Window.partitionBy("range").orderBy("copy", F.col("order_key").desc())
     # copies stay until their text has served as the next one
     following = {f"next_{n}": F.lead(n).over(order) for n in names}
     return rows.withColumns({"place": F.row_number().over(order), **following}).where(~F.col("copy")).select("range", "place", "doc_id", *names, *following)
 
 
-def compare_versions(rows: DataFrame) -> DataFrame:
-    """Fingerprints and likeness of the versions of each row of (range, place, head, and digests and sketches of three versions: own,
-    own_cells, edited, edited_cells, next, next_cells); head is any struct that comes back. Rows are already together by range,
-    so nothing is shuffled. Returns head with fingerprint, edited_fingerprint, near_edited, near_next.
-    """
-    out = rows.withColumns({f"{v}_peeled": peel(subtract(F.col("own_cells"), F.col(f"{v}_cells"))) for v in ("edited", "next")})
-    head = F.struct("head", encoded(F.col("own_cells")).alias("fingerprint"), encoded(F.col("edited_cells")).alias("edited_fingerprint"), *[F.size(v).alias(f"{v}_size") for v in ("own", "edited", "next")], "edited_peeled", "next_peeled")
-
-    def again(v: str, pair: int) -> Column:
-        segments = F.greatest(F.lit(1), F.ceil((F.size("own") + F.size(v)) / SEGMENT)).cast("long")
-
-        def part(sign: int, keys: Column) -> Column:
-            return F.transform(keys, lambda k: F.struct(F.lit(None).cast(head_type).alias("whole"), F.lit(pair).alias("pair"), F.pmod(F.xxhash64(k), segments).alias("segment"), F.lit(sign).alias("s"), k.alias("k")))
-
-        return F.when(F.col(f"{v}_peeled")["ok"], F.array().cast(part_type)).otherwise(F.concat(part(1, F.col("own")), part(-1, F.col(v))))
-
-    head_type = out.select(head.alias("h")).schema["h"].dataType.simpleString()
-    part_type = f"array<struct<whole:{head_type},pair:int,segment:bigint,s:int,k:bigint>>"
-    first = F.array(F.struct(head.alias("whole"), F.lit(-1).alias("pair"), F.lit(0).cast("long").alias("segment"), F.lit(0).alias("s"), F.lit(0).cast("long").alias("k")))
-    parts = out.select("range", "place", F.explode(F.concat(first, again("edited", 0), again("next", 1))).alias("part")).select("range", "place", "part.*")
-    segments = parts.groupBy("range", "place", "pair", "segment").agg(F.first("whole", ignorenulls=True).alias("whole"), F.collect_list(F.when(F.col("pair") >= 0, F.struct("s", "k"))).alias("keys"))
-    only = F.array_except(F.transform(F.filter("keys", lambda x: x["s"] > 0), lambda x: x["k"]), F.transform(F.filter("keys", lambda x: x["s"] < 0), lambda x: x["k"]))
-    exact = F.size(only)  # if even the largest table fails
-
-    def tried(sizes: tuple[int, ...]) -> Column:
-        if not sizes:
-            return exact
-        return _let(peel(sketch(F.col("keys"), sizes[0]), sizes[0]), lambda p: F.when(p["ok"], p["plus"]).otherwise(tried(sizes[1:])))
-
-    segments = segments.withColumn("plus", F.when(F.col("pair") >= 0, tried(RETRIES)))
-    total = segments.groupBy("range", "place").agg(F.first("whole", ignorenulls=True).alias("w"), *[F.sum(F.when(F.col("pair") == i, F.col("plus"))).cast("int").alias(f"{v}_plus") for i, v in enumerate(("edited", "next"))])
-    near = {f"near_{v}": likeness(F.col("w.own_size"), F.col(f"w.{v}_size"), F.when(F.col(f"w.{v}_peeled.ok"), F.col(f"w.{v}_peeled.plus")).otherwise(F.coalesce(f"{v}_plus", F.lit(0)))) for v in ("edited", "next")}
-    return total.select("w.head.*", "w.fingerprint", "w.edited_fingerprint", *[c.alias(k) for k, c in near.items()])
-
-
 def fingerprint_versions(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited version, and their likeness to each other and to the next document's.
 
     The edited text is the text with its last third, rounded down, replaced by the first as many code points of the next document.
-    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next. The likeness is the share of
-    distinct paragraphs that two versions have in common, 1 for two texts without any. Null text counts as empty. Repeated rows stay
-    and follow each other; a single row is its own next. An empty table gives an empty result. Only doc_id and text are read.
+    Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, and the digests recovered: those
+    that only the text and only its edited version has (edit: plus, minus), and only the text and only the next one has (step). The
+    likeness is the share of distinct paragraphs that two versions have in common, 1 for two texts without any. Null text counts
+    as empty. Repeated rows stay and follow each other; a single row is its own next. An empty table gives an empty result. Only
+    doc_id and text are read.
+
+    A fingerprint depends on its text alone: a sketch with room for all digests, so that nearly every one can be peeled by itself, and
+    two of them be compared by their texts with differences().
     """
-    own = [{"own": digests(F.col("text"))}, {"own_cells": sketch(_signed(F.col("own"), 1))}]
-    rows = with_next(docs, own).withColumn("n_chars", F.length("text").cast("long"))
+    rows = with_next(docs, [{"own": digests(F.col("text"))}]).withColumn("n_chars", F.length("text").cast("long"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - third), F.substring("next_text", F.lit(1), third))
     rows = rows.withColumn("edited_text", edited).withColumn("edited", digests(F.col("edited_text")))
-    head = F.struct("doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"))
-    versions = [F.col("own"), F.col("own_cells"), F.col("edited"), sketch(_signed(F.col("edited"), 1)).alias("edited_cells"), F.col("next_own").alias("next"), F.col("next_own_cells").alias("next_cells")]
-    return compare_versions(rows.select("range", "place", head.alias("head"), *versions))
+    names = ("doc_id", "n_chars", "edited_sha256", "next_size")
+    rows = rows.withColumns({"edited_sha256": F.sha2("edited_text", 256), "next_size": F.size("next_own")})
+    rows = rows.select("range", "place", *names, "own", "edited", F.col("next_own").alias("next"))
+    keys, pairs = ("range", "place"), [Difference("edit", "own", "edited"), Difference("step", "own", "next")]
+    out = None
+    for part in peeled_differences(rows, keys, ("own", "edited", "next"), pairs):
+        part = with_sketches(part.drop("next"), keys, ("own", "edited"))
+        out = part if out is None else out.unionByName(part)
+    near = {"near_edited": likeness(F.size("own"), F.size("edited"), F.size("edit.plus")), "near_next": likeness(F.size("own"), F.col("next_size"), F.size("step.plus"))}
+    texts = [F.col("own_sketch").alias("fingerprint"), F.col("edited_sketch").alias("edited_fingerprint")]
+    return out.select("doc_id", "n_chars", "edited_sha256", *texts, *[c.alias(k) for k, c in near.items()], "edit", "step")

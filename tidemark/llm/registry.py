@@ -42,7 +42,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every document and of its edited version, and their likeness."""
-    return fingerprints.fingerprint_versions(table(spark, sf_dir, "documents"))
+    return fingerprints.fingerprint_versions(table(spark, sf_dir, "documents")).drop("edit", "step")
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the archives of all pages hold of each page."""
     folder = shared_folder(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
-    captures = warc.with_pages(warc.assemble(warc.read_warc(spark, folder).drop("payload")))
+    captures = warc.with_pages(warc.assemble(warc.read_warc(spark, folder, payloads=False)))
     digest = F.substring_index("payload_digest", ":", -1)
     return captures.select("page_id", "payload_bytes", digest.alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_page").alias("refers_to"))
 
