@@ -11,19 +11,26 @@ from __future__ import annotations
 import hashlib
 import heapq
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
+
+from tidemark.llm.common import ship
+from tidemark.llm.textkit import text_slices
 
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+#: Rank of an edge that no piece makes.
+NO_EDGE = np.int64(1 << 40)
 #: Separates words in the indexed text; no UTF-8 text holds it.
 GAP = 0xFF
-#: Bytes of words indexed at once; words kept encoded in one task; characters above which a word is relaxed by a heap; text bytes handled at once.
-INDEX_BYTES, KEPT_WORDS, LONG_WORD, SLICE_BYTES = 1 << 19, 400_000, 200, 2_000_000
+#: Bytes of words indexed at once; words kept encoded in one task; characters above which a word is relaxed by a heap.
+INDEX_BYTES, KEPT_WORDS, LONG_WORD = 1 << 19, 400_000, 200
 #: A word for this purpose: spaces and what follows up to the next space. Line feeds occur in no piece of several characters.
 WORDS = re.compile("\n| *[^ \n]+| +")
 
@@ -178,41 +185,42 @@ class Encoder:
         word = np.cumsum(data[:n] == GAP)[start]
         after = np.append(start[1:], n)
         end = np.where(data[np.maximum(after - 1, 0)] == GAP, after - 1, after)
-        none = np.int64(1 << 40)
 
         def edge(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            """Rank and row of the edges from a to b; rank none where no piece matches."""
+            """Rank and row of the edges from a to b; rank NO_EDGE where no piece matches."""
             if not len(keys):
-                return np.full(len(a), none), np.zeros(len(a), np.int64)
+                return np.full(len(a), NO_EDGE), np.zeros(len(a), np.int64)
             length = b - a
             key = a * 256 + np.minimum(length, 255)
             i = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
             hit = (keys[i] == key) & (length < 256)
-            return np.where(hit, self.rank[rows[i]], none), rows[i]
+            return np.where(hit, self.rank[rows[i]], NO_EDGE), rows[i]
 
         count = np.bincount(word, minlength=len(words))
         long = np.flatnonzero(count > LONG_WORD)
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []  # word, start, end, row or -1 for a character
+        first_of = np.concatenate([[0], np.cumsum(count)])
         for w in long:
-            of = word == w
-            done.append((*self._heap(start[of], end[of], edge, none), w))
-            done[-1] = (np.full(len(done[-1][0]), w), *done[-1][:3])
+            own = slice(first_of[w], first_of[w + 1])
+            pairs = self._pairs(start[own], end[own], word[own], edge)
+            found = self._heap(start[own], end[own], *pairs, keys, rows)
+            done.append((np.full(len(found[0]), w), *found))
         keep = ~np.isin(word, long)
         s, e, w = start[keep], end[keep], word[keep]
         row = np.full(len(s), -1)
-        rank, made = self._pairs(s, e, w, edge, none)
+        rank, made = self._pairs(s, e, w, edge)
         while len(s):
             first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
             best = np.minimum.reduceat(rank, first)
             sizes = np.diff(np.append(first, len(s)))
-            over = np.repeat(best == none, sizes)
+            over = np.repeat(best == NO_EDGE, sizes)
             if over.any():
                 done.append((w[over], s[over], e[over], row[over]))
                 s, e, w, row, rank, made = (x[~over] for x in (s, e, w, row, rank, made))
                 if not len(s):
                     break
                 first = np.flatnonzero(np.append(True, w[1:] != w[:-1]))
-                best, sizes = best[best != none], np.diff(np.append(first, len(s)))
+                best, sizes = best[best != NO_EDGE], np.diff(np.append(first, len(s)))
             hits = np.flatnonzero(rank == np.repeat(best, sizes))
             hits = hits[np.append(True, w[hits][1:] != w[hits][:-1])]  # the leftmost of each word
             e[hits], row[hits] = e[hits + 1], made[hits]
@@ -226,29 +234,27 @@ class Encoder:
             nxt = np.minimum(redo + 1, len(s) - 1)
             same = (redo + 1 < len(s)) & (w[nxt] == w[redo])
             r, m = edge(s[redo], np.where(same, e[nxt], s[redo] + 255))
-            rank[redo], made[redo] = np.where(same, r, none), m
+            rank[redo], made[redo] = np.where(same, r, NO_EDGE), m
         w, s, e, row = (np.concatenate(x) for x in zip(*done, strict=True)) if done else (np.zeros(0, np.int64),) * 4
         order = np.lexsort((s, w))
         self._keep(data, len(words), w[order], s[order], e[order], row[order])
 
     @staticmethod
-    def _pairs(s, e, w, edge, none):
+    def _pairs(s, e, w, edge):
         """Rank and row of the edge that joins each symbol with the next of its word."""
         if not len(s):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         nxt = np.minimum(np.arange(len(s)) + 1, len(s) - 1)
         same = np.append(w[1:] == w[:-1], False)
         rank, made = edge(s, np.where(same, e[nxt], s + 255))
-        return np.where(same, rank, none), made
-
-    @staticmethod
-    def _heap(s: np.ndarray, e: np.ndarray, edge, none):
-        """The same for one long word, by a heap of edges instead of rounds."""
-        n = len(s)
-        end, row, nxt, prev = e.tolist(), [-1] * n, list(range(1, n + 1)), list(range(-1, n - 1))
-        start, alive = s.tolist(), [True] * n
-        rank, made = edge(s[:-1], e[1:])
-        heap = [(int(r), i, end[i], end[i + 1], int(m)) for i, (r, m) in enumerate(zip(rank, made, strict=True)) if r < none]
+        return np.where(same, rank, NO_EDGE), made
+
+    def _heap(self, s: np.ndarray, e: np.ndarray, rank: np.ndarray, made: np.ndarray, keys: np.ndarray, rows: np.ndarray):
+        """The same for one long word, by a heap of edges instead of rounds. rank and made are those of the edges of neighbours."""
+        n, places = len(s), memoryview(keys)
+        start, end, row, nxt, prev = s.tolist(), e.tolist(), [-1] * n, list(range(1, n + 1)), list(range(-1, n - 1))
+        alive = [True] * n
+        heap = [(r, i, end[i], end[i + 1], m) for i, (r, m) in enumerate(zip(rank.tolist()[:-1], made.tolist()[:-1], strict=True)) if r < NO_EDGE]
         heapq.heapify(heap)
         while heap:
             _, i, a, b, m = heapq.heappop(heap)
@@ -259,10 +265,12 @@ class Encoder:
             if nxt[i] < n:
                 prev[nxt[i]] = i
             for j in (prev[i], i):
-                if j >= 0 and nxt[j] < n:
-                    r, m2 = edge(np.array([start[j]]), np.array([end[nxt[j]]]))
-                    if r[0] < none:
-                        heapq.heappush(heap, (int(r[0]), j, end[j], end[nxt[j]], int(m2[0])))
+                if j >= 0 and nxt[j] < n and (length := end[nxt[j]] - start[j]) < 256:
+                    key = start[j] * 256 + length
+                    k = bisect_left(places, key)
+                    if k < len(places) and places[k] == key:
+                        found = int(rows[k])
+                        heapq.heappush(heap, (int(self.rank[found]), j, end[j], end[nxt[j]], found))
         kept = [i for i in range(n) if alive[i]]
         return s[kept], np.array([end[i] for i in kept], np.int64), np.array([row[i] for i in kept], np.int64)
 
@@ -308,16 +316,9 @@ class Encoder:
         return text.removeprefix(" ")
 
 
-def _slices(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    for batch in batches:
-        texts = batch.column(name).to_pylist()
-        texts = [t or "" for t in texts]
-        begin, held = 0, 0
-        for i, t in enumerate(texts):
-            held += len(t)
-            if held >= SLICE_BYTES or i + 1 == len(texts):
-                yield batch.slice(begin, i + 1 - begin), texts[begin : i + 1]
-                begin, held = i + 1, 0
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    for batch, texts in text_slices(batches):
+        yield batch, [t.decode() for t in texts]
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.RecordBatch]:
@@ -347,9 +348,10 @@ def _digests(batches: Iterator[pa.RecordBatch], vocabulary) -> Iterator[pa.Recor
 
 
 def _mapped(docs: DataFrame, function, model: str, drop: tuple[str, ...], add: str) -> DataFrame:
+    ship(docs.sparkSession)
     vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model))  # as large as the model
-    fields = [f"`{c}` {t}" for c, t in docs.dtypes if c not in drop]
-    return docs.mapInArrow(lambda batches: function(batches, vocabulary), ", ".join([*fields, add]))
+    schema = T.StructType([*[f for f in docs.schema if f.name not in drop], *T.StructType.fromDDL(add)])
+    return docs.mapInArrow(lambda batches: function(batches, vocabulary), schema)
 
 
 def encode_documents(docs: DataFrame, model: str = DEFAULT_MODEL) -> DataFrame:
