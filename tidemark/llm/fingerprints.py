@@ -21,9 +21,9 @@ from tidemark.llm.common import checkpointed
 BLANK = " \t\n\x0b\x0c\r"
 #: A paragraph: a line, or of a long line 160 characters and what is left of the last word.
 PARAGRAPH = r"[^\n]{1,160}[^\n ]*"
-#: Least cells of a row of a sketch; cells of a row for each digest, at least; steps of peeling, three for each row; how much
-#: larger the rows of the next try are.
-CELLS, ROOM, STEPS, GROWTH = 8, 2, 9, 4
+#: Least cells of a row of a sketch; cells of a row for each digest, at least; steps of peeling, one for each row; how much larger the
+#: rows of the next try are. Empty cells cost nothing, so wide rows, which peel in few steps, are cheaper than many steps.
+CELLS, ROOM, STEPS, GROWTH = 8, 4, 3, 4
 LOWEST = -(1 << 63)
 #: Hashes of a digest that choose its cell in each row, and its check hash.
 PLACES = {f"h{r}": f"xxhash64(k, {r})" for r in range(3)}
@@ -152,30 +152,37 @@ def _hex(value: str, digits: int) -> str:
     return f"lpad(hex({value if digits == 16 else f'{value} & {(1 << 4 * digits) - 1}L'}), {digits}, '0')"
 
 
-def with_sketches(rows: DataFrame, keys: tuple[str, ...], versions: tuple[str, ...]) -> DataFrame:
-    """rows with the fingerprint of each version, in a column of its name and _sketch: in base 64, the cells in a row and the digests of its
-    sketch (4 bytes each), and its non-empty cells in rising order with their place (4), count (2), xor of digests (8) and of
-    check hashes (4). keys and partitions are as in peeled_differences."""
-    carried = [c for c in rows.columns if c not in keys]
-    rows = rows.withColumns({f"m_{v}": cells_for(F.size(v)) for v in versions})
-    updates = []
-    for i, v in enumerate(versions):
-        three = ", ".join(_struct(t=str(i), cell=_place(r, f"m_{v}", f"h{r}"), n="1L", k="k", c="c") for r in range(3))
-        updates.append(f"WHEN version = {i} THEN array({three})")
-    last = _struct(t="-1", cell="-1L", n="0L", k="0L", c="0L")
-    each = _with_digests(rows, keys, versions, [*carried, *[f"m_{v}" for v in versions]])
-    cells = each.selectExpr(*keys, "payload", f"inline(CASE {' '.join(updates)} ELSE array({last}) END)")
-    cells = cells.groupBy(*keys, "payload", "t", "cell").agg(F.sum("n").alias("n"), F.bit_xor("k").alias("k"), F.bit_xor("c").alias("c"))
-    entry = f"concat({_hex('cell', 8)}, {_hex('n', 4)}, {_hex('k', 16)}, {_hex('c', 8)})"
-    cells = cells.selectExpr(*keys, "payload", "t", f"CASE WHEN t >= 0 THEN {entry} END AS entry")
-    lists = [F.expr(f"collect_list(CASE WHEN t = {i} THEN entry END) AS entries_{i}") for i in range(len(versions))]
-    out = cells.groupBy(*keys).agg(F.expr("first(payload, true) AS payload"), *lists)
+def with_sketch_texts(rows: DataFrame, **versions: str) -> DataFrame:
+    """rows with the fingerprints of columns of distinct digests, by the name that they get, as text: in base 64, the cells in a row
+    and the number of digests (4 bytes each), and the non-empty cells in rising order with their place (4), count (1), xor of digests
+    (8) and of check hashes (4).
+
+    The three updates of each digest are sorted by cell, as a number of the cell and the digest's index, and each run of a cell is summed.
+    """
+    rows = rows.withColumns({f"m_{v}": cells_for(F.size(v)) for v in versions.values()})
+    updates = {}
+    for v in versions.values():
+        three = ", ".join(f"shiftleft({_place(r, f'm_{v}', PLACES[f'h{r}'])}, 24) + i" for r in range(3))
+        updates[f"updates_{v}"] = F.expr(f"sort_array(flatten(transform({v}, (k, i) -> array({three}))))")
+    rows = rows.withColumns(updates)
+    heads = {f"heads_{v}": F.expr(f"filter(transform(updates_{v}, (x, i) -> CASE WHEN i = 0 OR shiftright(x, 24) <> shiftright(get(updates_{v}, i - 1), 24) THEN i END), i -> i IS NOT NULL)") for v in versions.values()}
+    rows = rows.withColumns(heads)
     texts = []
-    for i, v in enumerate(versions):
-        head = f"{_hex(f'payload.m_{v}', 8)}, {_hex(f'CAST(size(payload.{v}) AS BIGINT)', 8)}"
-        text = f"base64(unhex(concat({head}, array_join(sort_array(entries_{i}), ''))))"
-        texts.append(F.replace(F.expr(text), F.lit("\r\n"), F.lit("")).alias(f"{v}_sketch"))
-    return out.select(*keys, *[F.col(f"payload.{c}") for c in carried], *texts)
+    for name, v in versions.items():
+        k = lambda at: f"get({v}, CAST(get(updates_{v}, {at}) & 16777215L AS INT))"  # noqa: B023, E731
+        cell = _hex(f"shiftright(get(updates_{v}, at), 24)", 8)
+        one = f"concat({cell}, '01', {_hex('k', 16)}, {_hex(CHECK, 8)})"
+        one = f"get(transform(array({k('at')}), k -> {one}), 0)"
+        run = f"transform(sequence(at, next - 1), j -> {k('j')})"
+        total = f"aggregate({run}, {_struct(n='0L', k='0L', c='0L')}, (a, k) -> {_struct(n='a.n + 1L', k='a.k ^ k', c=f'a.c ^ {CHECK}')})"
+        many = f"concat({cell}, {_hex('sum.n', 2)}, {_hex('sum.k', 16)}, {_hex('sum.c', 8)})"
+        many = f"get(transform(array({total}), sum -> {many}), 0)"
+        entry = f"get(transform(array(coalesce(get(heads_{v}, nth + 1), size(updates_{v}))), next -> CASE WHEN next - at = 1 THEN {one} ELSE {many} END), 0)"
+        head = f"{_hex(f'm_{v}', 8)}, {_hex(f'CAST(size({v}) AS BIGINT)', 8)}"
+        text = f"base64(unhex(concat({head}, array_join(transform(heads_{v}, (at, nth) -> {entry}), ''))))"
+        texts.append(F.replace(F.expr(text), F.lit("\r\n"), F.lit("")).alias(name))
+    made = [c for v in versions.values() for c in (f"m_{v}", f"updates_{v}", f"heads_{v}")]
+    return rows.select("*", *texts).drop(*made)
 
 
 def decoded(fingerprint: Column) -> Column:
@@ -186,11 +193,10 @@ def decoded(fingerprint: Column) -> Column:
         return F.conv(F.substring(digits, F.lit(at) if isinstance(at, int) else at, F.lit(n)), 16, -10).cast("long")
 
     def cell(i: Column) -> Column:
-        at = 17 + 36 * i
-        n = number(at + 8, 4)
-        return F.struct(number(at, 8).alias("cell"), F.when(n > 32767, n - 65536).otherwise(n).alias("n"), number(at + 12, 16).alias("k"), number(at + 28, 8).alias("c"))
+        at = 17 + 34 * i
+        return F.struct(number(at, 8).alias("cell"), number(at + 8, 2).alias("n"), number(at + 10, 16).alias("k"), number(at + 26, 8).alias("c"))
 
-    count = F.call_function("div", F.length(digits) - 16, F.lit(36)).cast("int")
+    count = F.call_function("div", F.length(digits) - 16, F.lit(34)).cast("int")
     every = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), cell)).otherwise(F.array().cast("array<struct<cell:bigint,n:bigint,k:bigint,c:bigint>>"))
     return F.struct(number(1, 8).alias("m"), number(9, 8).alias("size"), every.alias("cells"))
 
@@ -321,11 +327,9 @@ def fingerprint_versions(docs: DataFrame) -> DataFrame:
     names = ("doc_id", "n_chars", "edited_sha256", "next_size")
     rows = rows.withColumns({"edited_sha256": F.sha2("edited_text", 256), "next_size": F.size("next_own")})
     rows = rows.select("range", "place", *names, "own", "edited", F.col("next_own").alias("next"))
-    keys, pairs = ("range", "place"), [Difference("edit", "own", "edited"), Difference("step", "own", "next")]
     out = None
-    for part in peeled_differences(rows, keys, ("own", "edited", "next"), pairs):
-        part = with_sketches(part.drop("next"), keys, ("own", "edited"))
+    for part in peeled_differences(rows, ("range", "place"), ("own", "edited", "next"), [Difference("edit", "own", "edited"), Difference("step", "own", "next")]):
         out = part if out is None else out.unionByName(part)
+    out = with_sketch_texts(out, fingerprint="own", edited_fingerprint="edited")
     near = {"near_edited": likeness(F.size("own"), F.size("edited"), F.size("edit.plus")), "near_next": likeness(F.size("own"), F.col("next_size"), F.size("step.plus"))}
-    texts = [F.col("own_sketch").alias("fingerprint"), F.col("edited_sketch").alias("edited_fingerprint")]
-    return out.select("doc_id", "n_chars", "edited_sha256", *texts, *[c.alias(k) for k, c in near.items()], "edit", "step")
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *[c.alias(k) for k, c in near.items()], "edit", "step")
