@@ -41,10 +41,7 @@ rep AS (SELECT doc_id, CAST(sum(step) AS BIGINT) AS n_repeat_words FROM q GROUP
 l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM d),
 k AS (SELECT *, lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS norm FROM l),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM k WHERE norm <> '' GROUP BY doc_id),
-h AS (SELECT source, count(*) AS n_docs FROM d GROUP BY source),
-f AS (
-  SELECT k.source, k.norm FROM k JOIN h ON k.source IS NOT DISTINCT FROM h.source WHERE length(norm) >= 20
-  GROUP BY k.source, k.norm, n_docs HAVING count(DISTINCT doc_id) > 20 AND count(DISTINCT doc_id) > 0.01 * n_docs),
+f AS (SELECT source, norm FROM k WHERE length(norm) >= 20 GROUP BY source, norm HAVING count(DISTINCT doc_id) > 20),
 z AS (
   SELECT k.doc_id, count(f.norm) AS n_removed_lines, CAST(coalesce(sum(length(k.line)) FILTER (f.norm IS NOT NULL), 0) AS BIGINT) AS removed_chars,
          CAST(sum(length(k.line)) AS BIGINT) AS total_chars
