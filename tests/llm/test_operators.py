@@ -3,6 +3,8 @@ import hashlib
 import io
 import random
 import re
+import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -104,8 +106,27 @@ def test_jaccard_large_group(spark, monkeypatch):
         texts[d] = " ".join(w)
     links = brute_links(texts)
     classes = brute_classes(texts, links)
+    met, cells = [], jaccard_join._cells
+
+    def counted(found, sets):
+        out = cells(found, sets)
+        met.append((found.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(jaccard_join, "_cells", counted)
     got = jaccard_join.jaccard_join(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
     assert {x["doc_id"]: (x["n_links"], x["class_id"]) for x in got} == {d: (len(links[d]), classes[d]) for d in texts}
+    # blocks of a group that meets in a lesser node aren't paired: far fewer rows than a row for each other block in every node
+    assert met[0][1] < met[0][0] * len(texts) / 16 / 2
+
+
+def test_recall_counts_the_filter():
+    loss = jaccard_join.filter_loss(0.8)
+    assert 1e-6 < loss < 1e-4 and jaccard_join.runs_for(0.999, 0.8) >= jaccard_join.runs_for(0.99, 0.8)
+    r = np.random.default_rng(1)
+    assert (r.binomial(jaccard_join.COORDINATES, 0.8, 1_000_000) < jaccard_join.least_agreement(0.8)).mean() < 3 * loss
+    with pytest.raises(ValueError):
+        jaccard_join.runs_for(1 - loss / 2, 0.8)
 
 
 def test_jaccard_edges(edge, none):
@@ -173,11 +194,84 @@ def test_classifier_edges(spark, edge, none):
     assert again == {r["doc_id"]: r["score"] for r in got.collect()}
 
 
-def test_gradient():
-    r = np.random.default_rng(0)
-    rows, begin, y = r.normal(size=(20, classifier.FEATURES)), np.array([0, 3, 4, 12, 20]), np.array([0.0, 1, 1, 0])
-    model = classifier.train(rows, begin, y, epochs=300, batch=4)
-    assert ((classifier.forward(model, rows, begin)[0] > 0.5) == (y == 1)).all()
+def plain_score(model, bags, d):
+    """The score of document d in plain Python."""
+    import math
+
+    dot = lambda v, m, j: sum(x * m[i][j] for i, x in enumerate(v))
+    squash = lambda x: 1 / (1 + math.exp(-x))
+    hs, es = [], []
+    for p in range(bags.begin[d], bags.begin[d + 1]):
+        grams = bags.grams[bags.at[p] : bags.at[p + 1]]
+        x = [sum(model["E"][g][i] for g in grams) / max(1, len(grams)) for i in range(classifier.EMBEDDED)]
+        x += [dot(bags.chars[p], model["C"], i) for i in range(classifier.EMBEDDED)]
+        x += [(v - m) / q for v, m, q in zip(bags.stats[p], model["mean"], model["scale"], strict=True)]
+        h = [math.tanh(dot(x, model["W"], j) + model["b"][j]) for j in range(classifier.HIDDEN)]
+        gates = [math.tanh(dot(h, model["V"], j) + model["c"][j]) * squash(dot(h, model["U"], j) + model["d"][j]) for j in range(classifier.ATTENTION)]
+        hs.append(h)
+        es.append(math.exp(sum(g * w for g, w in zip(gates, model["w"], strict=True))))
+    z = [sum(e * h[j] for e, h in zip(es, hs, strict=True)) / sum(es) for j in range(classifier.HIDDEN)]
+    return squash(sum(a * b for a, b in zip(z, model["o"], strict=True)) + model["p"])
+
+
+@pytest.fixture(scope="module")
+def small_bags():
+    r = random.Random(3)
+    texts = [" ".join(r.choice(["good", "fine", "###", "Zé", "a", "1"]) for _ in range(n)).encode() for n in (200, 3, 64, 65, 130, 1)] + [b"", b" \n"]
+    bags = classifier.bags_of(texts)
+    bags.chars, bags.stats = bags.chars.astype(np.float64), bags.stats.astype(np.float64)
+    g = np.random.default_rng(1)
+    model = {k: g.normal(0, 0.5, np.shape(v)) for k, v in classifier.new_model(bags, 0.4).items()} | {"scale": np.ones(classifier.STATS)}
+    return bags, model
+
+
+def test_forward_against_plain_python(small_bags):
+    bags, model = small_bags
+    got = classifier.forward(model, bags)[0]
+    assert np.allclose(got, [plain_score(model, bags, d) for d in range(len(got))], atol=1e-12)
+    one = [classifier.Bags.unpack(bags.take(np.array([d])).pack(), int(np.diff(bags.begin)[d])) for d in range(len(got))]
+    assert np.allclose(classifier.forward(model, classifier.Bags.join(one))[0], got, atol=1e-3)
+
+
+def test_gradient_against_finite_differences(small_bags):
+    bags, model = small_bags
+    labels = np.array([1.0, 0, 1, 0, 0, 1, 1, 0])
+
+    def loss(m):
+        y = classifier.forward(m, bags)[0]
+        return -np.mean(labels * np.log(y) + (1 - labels) * np.log(1 - y))
+
+    found, r = classifier.gradient(model, bags, labels), random.Random(5)
+    for name in classifier.LEARNED:
+        shape = np.shape(model[name])
+        for _ in range(12):
+            at = (int(r.choice(bags.grams)), r.randrange(shape[1])) if name == "E" else (r.choice(b"goZ# a"), r.randrange(shape[1])) if name == "C" else tuple(r.randrange(n) for n in shape)
+            up, down = ({**model, name: np.array(model[name], copy=True)} for _ in range(2))
+            up[name][at] += 1e-5
+            down[name][at] -= 1e-5
+            assert abs((loss(up) - loss(down)) / 2e-5 - found[name][at]) < 1e-8, (name, at)
+
+
+def test_training_fits():
+    r = random.Random(0)
+    texts = [" ".join(r.choice(("bad bad awful" if y == 0 else "good fine nice").split()) for _ in range(90)).encode() for y in (0, 1) * 20]
+    bags, labels = classifier.bags_of(texts), np.array([0.0, 1] * 20)
+    model = classifier.train(bags, labels)
+    assert ((classifier.scores(model, texts) > 0.5) == (labels == 1)).all()
+    assert classifier.train(classifier.bags_of([]), np.zeros(0)) == {"constant": 0.5}
+
+
+def test_training_is_bounded(spark, monkeypatch):
+    seen, train = [], classifier.train
+    monkeypatch.setattr(classifier, "train", lambda bags, labels, **kw: seen.append((len(labels), int(bags.begin[-1]))) or train(bags, labels, **kw))
+    rows = [(i, ("good " if i % 2 else "bad ") * 100) for i in range(60)] + [(3, f"row {k} of an id that is found often") for k in range(200)] + [(61, "long " * 5000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(62)], "doc_id long, quality int")
+    classifier.fit(docs, labels, most_docs=40, most_passages=30)
+    assert seen[-1][0] <= 40 and seen[-1][1] <= 30
+    classifier.fit(docs, labels)
+    learned = sum(1 for i in range(62) if i != 60 and not spark.range(1).select(classifier.held_out(F.lit(i))).first()[0])
+    assert seen[-1][0] == learned  # one row of each id that is found
 
 
 # 4
@@ -204,7 +298,15 @@ def test_lines(edge, none, documents):
         got = line_dedup.dedup_lines(df)
         assert sorted((tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "text").collect()), key=str) == brute_lines(rows)
     assert line_dedup.dedup_lines(none).count() == 0
-    assert "key" in line_dedup.dedup_lines(edge).columns
+    names = ("line_doc", "line_digests", "rest", "line_key", "text_hash", "doc", "key", "key2")
+    got = line_dedup.dedup_lines(edge.select("*", *[F.lit(n).alias(n) for n in names if n != "key"]))
+    assert all(got.where(F.col(n) != (n if n != "key" else "k")).count() == 0 for n in names) and got.count() == len(EDGE)
+
+
+def test_lines_of_rows_without_id(spark):
+    rows = [(None, f"{LINE}\nown line of a row without an id, number {i}") for i in range(50)] + [(1, LINE), (2, LINE + "\nx")]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "text").collect()), key=str) == brute_lines(rows)
 
 
 def test_lines_with_saturated_filter(edge):
@@ -265,6 +367,79 @@ def test_fingerprints(documents, edge, none):
     assert fingerprints.fingerprint_versions(none).count() == 0
 
 
+def cells_of(fingerprint):
+    """Cells in a row, number of digests, and {cell: [n, k, c]} of a fingerprint's text, read in plain Python."""
+    import base64
+
+    raw = base64.b64decode(fingerprint)
+    number = lambda a, n: int.from_bytes(raw[a : a + n], "big")
+    return number(0, 4), number(4, 4), {number(a, 4): [number(a + 4, 1), number(a + 5, 8), number(a + 13, 4)] for a in range(8, len(raw), 17)}
+
+
+def peeled_in_python(cells, places):
+    """Digests that peeling recovers, from cells alone; places maps a digest to its three cells. None if some cells stay."""
+    found, live = set(), True
+    while live:
+        live = False
+        for at in list(cells):
+            n, k, c = cells[at]
+            if n == 1 and k in places and at in places[k] and places[k][3] == c:
+                found.add(k)
+                live = True
+                for other in places[k][:3]:
+                    x = cells[other]
+                    cells[other] = [x[0] - 1, x[1] ^ k, x[2] ^ c]
+    return found if not any(map(any, cells.values())) else None
+
+
+def test_fingerprints_hold_the_likeness(spark, documents):
+    out = fingerprints.fingerprint_versions(documents).persist()
+    rows = {r["doc_id"]: r for r in out.collect()}
+    order = sorted(rows, reverse=True)
+    pairs = [(2 * d, rows[d]["fingerprint"], rows[d]["edited_fingerprint"]) for d in order]
+    pairs += [(2 * d + 1, rows[d]["fingerprint"], rows[order[(i + 1) % len(order)]]["fingerprint"]) for i, d in enumerate(order)]
+    size = {i: (cells_of(a)[1], cells_of(b)[1]) for i, a, b in pairs}
+    got = fingerprints.differences(spark.createDataFrame(pairs, "id long, a string, b string")).collect()
+    whole = [r for r in got if r["plus"] is not None]
+    assert len(got) == len(pairs) and len(whole) >= 0.98 * len(got)
+    for r in whole:
+        d, other = divmod(r["id"], 2)
+        (a, b), row = size[r["id"]], rows[d]
+        assert abs((1.0 if not b + len(r["plus"]) else (a - len(r["plus"])) / (b + len(r["plus"]))) - row["near_next" if other else "near_edited"]) < 1e-9
+        side = row["step" if other else "edit"]
+        assert sorted(r["plus"]) == sorted(side["plus"]) and sorted(r["minus"]) == sorted(side["minus"])
+
+
+def test_fingerprints_peel_in_plain_python(spark, documents):
+    docs = documents.select("doc_id", "text").orderBy("doc_id").limit(40)
+    out = fingerprints.with_sketch_texts(docs.select("doc_id", fingerprints.digests(F.col("text")).alias("own")), fingerprint="own").collect()
+    every = spark.createDataFrame([(r["doc_id"], k, cells_of(r["fingerprint"])[0]) for r in out for k in r["own"]], "doc_id long, k long, m long")
+    where = every.selectExpr("doc_id", "k", *[f"{r} * m + pmod(xxhash64(k, {r}), m) AS p{r}" for r in range(3)], "xxhash64(k, 3) & 4294967295L AS c").collect()
+    unsigned = lambda k: k % (1 << 64)
+    places = defaultdict(dict)
+    for r in where:
+        places[r["doc_id"]][unsigned(r["k"])] = (r["p0"], r["p1"], r["p2"], r["c"])
+    got = {r["doc_id"]: peeled_in_python(cells_of(r["fingerprint"])[2], places[r["doc_id"]]) for r in out}
+    assert sum(v is not None for v in got.values()) >= 38
+    assert all(got[r["doc_id"]] in (None, {unsigned(k) for k in r["own"]}) for r in out)
+    again = {r["id"]: r["digests"] for r in fingerprints.recovered(spark.createDataFrame([(r["doc_id"], r["fingerprint"]) for r in out], "id long, fingerprint string")).collect()}
+    assert all(sorted(again[r["doc_id"]]) == sorted(r["own"]) for r in out if got[r["doc_id"]] is not None)
+
+
+def test_peeling_tries_larger_rows(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "CELLS", 1)
+    monkeypatch.setattr(fingerprints, "ROOM", 1)
+    r = random.Random(2)
+    rows = [(i, [r.randrange(-(2**63), 2**63) for _ in range(r.randrange(30))], [r.randrange(-(2**63), 2**63) for _ in range(r.randrange(30))]) for i in range(50)]
+    rows = [(i, a, b + a[: len(a) // 2]) for i, a, b in rows]
+    df = spark.createDataFrame(rows, "id long, a array<long>, b array<long>").repartition("id")
+    parts = fingerprints.peeled_differences(df, ("id",), ("a", "b"), [fingerprints.Difference("found", "a", "b")])
+    got = {x["id"]: x["found"] for part in parts for x in part.collect()}
+    assert len(parts) > 1 and len(got) == 50
+    for i, a, b in rows:
+        assert sorted(got[i]["plus"]) == sorted(set(a) - set(b)) and sorted(got[i]["minus"]) == sorted(set(b) - set(a))
+
+
 def test_next_crosses_ranges(spark):
     ids = [None, 5, 5, 7, 100, 10**12, -3]
     df = spark.createDataFrame([(d, f"t{i}") for i, d in enumerate(ids)], "doc_id long, text string")
@@ -276,6 +451,16 @@ def test_next_crosses_ranges(spark):
     assert t == "t5" and len(set(order)) == len(ids)
     assert [ids[int(x[1:])] for x in order] == [10**12, 100, 7, 5, 5, -3, None]
 
+    # a third of all rows has one id: they are dealt to many ranges
+    rows = [(i, f"text {i}") for i in range(400)] + [(200, f"more {i}") for i in range(200)]
+    got = fingerprints.with_next(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), rows_per_range=20).collect()
+    assert max(Counter(r["range"] for r in got).values()) < 150
+    following, t, walk = {r["text"]: r["next_text"] for r in got}, "text 399", []
+    for _ in got:
+        walk.append(200 if t.startswith("more") else int(t[5:]))
+        t = following[t]
+    assert t == "text 399" and len(walk) == 600 and walk == sorted(walk, reverse=True)
+
 
 # 7
 
@@ -330,10 +515,36 @@ def test_warc_round_trip(spark, tmp_path):
         assert r["payload"] == (payload.decode() if r["type"] == "response" else None) and r["request"] is not None
     assert by[2][0]["type"] == "response" and by[1][0]["refers_page"] == 2 and by[None][0]["refers_page"] == 2
     assert sorted(r["type"] for r in by[7]) == ["response", "revisit"] and by[3][0]["type"] == by[4][0]["type"] == "response"
+    members = 0
+    for path in (tmp_path / "w").glob("part-*"):
+        assert path.name.endswith(".warc.gz")
+        raw, at, own = path.read_bytes(), 0, []
+        while at < len(raw):  # each record is a gzip member
+            z = zlib.decompressobj(31)
+            own.append(z.decompress(raw[at:]) + z.flush())
+            at = len(raw) - len(z.unused_data)
+        assert own[0].startswith(b"WARC/1.1\r\nWARC-Type: warcinfo") and len(own) <= 5
+        assert all(x.startswith(b"WARC/1.1\r\n") and x.endswith(b"\r\n\r\n") and x.count(b"WARC-Record-ID") >= 1 for x in own)
+        members += sum(b"WARC-Type: warcinfo" not in x for x in own)
+    assert members == 3 * df.count()
     warc.write_warc(df.where("false"), f"file://{tmp_path}/e")
     assert warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/e")).count() == 0
 
 
+def test_warc_long_records_end_with_a_zero():
+    for size in (0, 10, (1 << 24) - 4, 1 << 24, (1 << 25) + 5):
+        member = warc.gzip_member(b"x" * size)
+        assert member[-1] == 0 and gzip.decompress(member) == b"x" * size + b"\r\n\r\n"
+
+
+def test_warc_is_read_once(spark, tmp_path):
+    warc.write_warc(pages(spark), f"file://{tmp_path}/w")
+    captures = warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/w", payloads=False))
+    plan = captures._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan binaryFile") + plan.count("Scan binaryFile") == 1 or plan.count("binaryFile") == 1
+    assert "binaryFile" not in warc.with_pages(captures)._jdf.queryExecution().executedPlan().toString()
+
+
 def test_warc_parses_plain_streams():
     record = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r>\r\nContent-Length: 23\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n"
     got = list(warc.parse(io.BytesIO(gzip.decompress(gzip.compress(record) + gzip.compress(record)))))
@@ -375,6 +586,67 @@ def test_shards(edge, none, documents):
     assert sharding.shard_documents(none).count() == 0
 
 
+def brute_shards(rows, shards):
+    """Shard of each id, by best fit one group at a time, and the number of groups of size classes that are split between shards."""
+    groups = defaultdict(lambda: [0, []])
+    for d, t in rows:
+        raw = (t or "").encode()
+        group = groups[hashlib.sha256(raw).digest()]
+        group[0] += len(raw) + 1
+        group[1].append(d)
+    items = sorted(groups.items(), key=lambda x: (-x[1][0], x[0]))
+    sizes = [n for _, (n, _) in items]
+    total, alone = sum(sizes), 0
+    while alone < min(shards - 1, len(sizes)) and sizes[alone] * (shards - alone) >= total:
+        total -= sizes[alone]
+        alone += 1
+
+    def fit(capacity):
+        free, out = [], []
+        for n in sizes[alone:]:
+            fits = [(f, i) for i, f in enumerate(free) if f >= n]
+            if not fits:
+                if len(free) == shards - alone or n > capacity:
+                    return None
+                free.append(capacity)
+                fits = [(capacity, len(free) - 1)]
+            i = min(fits)[1]
+            free[i] -= n
+            out.append(alone + i)
+        return out
+
+    low = max([*sizes[alone : alone + 1], -(-total // (shards - alone))])
+    high, step = low, 1
+    while fit(high) is None:
+        low, high, step = high + 1, high + step, step * 2
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (middle + 1, high) if fit(middle) is None else (low, middle)
+    return {d: s for (_, (_, ids)), s in zip(items, [*range(alone), *fit(high)], strict=True) for d in ids}
+
+
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+def test_shards_against_brute_force(spark, scale):
+    docs = spark.read.parquet(f"/root/testdata/{scale}/documents.parquet")
+    want = brute_shards([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()], 16)
+    assert {r["doc_id"]: r["shard"] for r in sharding.shard_documents(docs).collect()} == want
+
+
+def test_shards_of_equal_sizes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLICE", 7)
+    rows = [(i % 90, f"text {i % 160:03d}") for i in range(400)] + [(5, "again")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sharding.shard_documents(docs, 5).collect()
+    slots, where = defaultdict(list), defaultdict(set)
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        where[r["text_crc32"]].add(r["shard"])
+    assert len(got) == 700 and all(sorted(v) == list(range(len(v))) for v in slots.values()) and all(len(v) == 1 for v in where.values())
+    by_text = {zlib.crc32(t.encode()): t for _, t in rows}
+    want = brute_shards([(t, t) for _, t in rows], 5)
+    assert {by_text[c]: next(iter(v)) for c, v in where.items()} == want
+
+
 def test_best_fit_against_brute_force():
     r = random.Random(1)
     for _ in range(200):
@@ -387,9 +659,11 @@ def test_best_fit_against_brute_force():
                 free.append(70)
             free[i] -= s
             out.append(i)
-        assert sharding.best_fit(sizes, 70) == out
-        packed = sharding.pack(sizes, 5)
-        assert len(packed) == len(sizes) and set(packed) <= set(range(5))
+        classes = sorted(Counter(sizes).items(), reverse=True)
+        runs = sharding.best_fit(classes, 70)
+        assert [b for own in runs for b, n in own for _ in range(n)] == out
+        packed = sharding.pack(classes, 5)
+        assert [sum(n for _, n in own) for own in packed] == [n for _, n in classes] and {b for own in packed for b, _ in own} <= set(range(5))
 
 
 # 10
@@ -407,15 +681,15 @@ def test_url_rules(spark):
 
 
 def test_mined_rules_against_brute_force(spark):
-    from itertools import combinations
+    from itertools import combinations, product
 
     r = random.Random(4)
     rows = []
     for i in range(400):
         a, b, c = r.choice("ab"), r.choice("cd"), r.choice("efg")
-        rows.append((f"http://{a}.{b}.org/{c}/{i}", r.random() < (0.95 if (a, c) == ("a", "e") else 0.1)))
+        rows.append((f"http://{a}.{b}.org/{c}/{i}?{c}k=1&{c}l=2", r.random() < (0.95 if (a, c) == ("a", "e") else 0.1)))
     df = spark.createDataFrame(rows, "url string, bad boolean")
-    rules = {tuple(x["tokens"]): x["confidence"] for x in urls.mine_rules(df, 0.02, 8, 0.6).collect()}
+    rules = {tuple(sorted(s)): x["confidence"] for x in urls.mine_rules(df, 0.02, 8, 0.6).collect() for s in product(*x["any_of"])}
     tokens = {u: frozenset(t) for u, t in df.select("url", urls.url_tokens(F.col("url"))).collect()}
     seen, bad = Counter(), Counter()
     for u, y in rows:
@@ -428,3 +702,37 @@ def test_mined_rules_against_brute_force(spark):
     assert rules.keys() == best.keys() and all(abs(rules[s] - best[s]) < 1e-9 for s in best)
     matched = {x["url"] for x in urls.matching_urls(df, urls.mine_rules(df, 0.02, 8, 0.6)).collect()}
     assert matched == {u for u, _ in rows if any(set(s) <= tokens[u] for s in best)}
+
+
+@pytest.mark.parametrize("noise", [False, True])
+def test_rules_of_long_templates(spark, noise):
+    path = lambda i: "/".join(f"s{k}" for k in range(40) if not noise or k % 25 != i)
+    rows = [(f"http://x.org/{path(i)}/{i}", i < 20) for i in range(25)] + [(f"http://y{i}.org/{i}", False) for i in range(50)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    began = time.perf_counter()
+    rules = urls.mine_rules(df)
+    matched = {x["url"] for x in urls.matching_urls(df, rules).collect()}
+    assert {u for u, _ in rows[:25]} == matched and time.perf_counter() - began < 60
+    assert rules.where("confidence < 0.6 OR support * 75 < 7.5").count() == 0
+
+
+def test_rules_of_one_item_need_the_same_count_in_large_tables(spark):
+    clean = spark.range(20_000).selectExpr("concat('http://fine', id, '.org/', id) AS url", "false AS bad")
+    bad = spark.range(9).selectExpr("concat('http://bad.org/', id) AS url", "true AS bad")
+    assert urls.mine_rules(bad.union(clean.limit(100))).select("tokens").collect() == urls.mine_rules(bad.union(clean)).select("tokens").collect() != []
+
+
+def test_fixed_rules_against_sql(spark, sf_dir):
+    import duckdb
+
+    sql = r"""
+    WITH p AS (SELECT page_id, coalesce(url, '') AS url FROM read_parquet('{0}/pages.parquet')),
+    h AS (SELECT page_id, translate(regexp_extract(url, '://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(url, '://[^/?#]*([^?#]*)', 1) AS path FROM p),
+    r(action, rule_host, rule_path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'), ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+    m AS (SELECT page_id, max({{'n': length(rule_host || rule_path), 'rule': rule_host || rule_path, 'action': action}}) AS best
+          FROM h JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id)
+    SELECT page_id, host, path, best.rule, best.action FROM h LEFT JOIN m USING (page_id)""".format(sf_dir)
+    want = sorted(duckdb.sql(sql).fetchall())
+    rows = registry.queries()["op10_url_filter"](spark, sf_dir).collect()
+    got = [(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"] if r["rule"] else None) for r in rows]
+    assert sorted(got, key=lambda x: x[0]) == want and all(r["verdict"] == ("block" if r["mined"] else "allow") for r in rows if not r["rule"])

@@ -1,3 +1,5 @@
+import pathlib
+
 import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
@@ -60,3 +62,28 @@ def test_one_row_of_each_class(spark, sf_dir):
     e = [t for d, t in got if d is None and t != text("f")]
     assert len(e) == 1 and e[0] in (text("e"), text("e") + " end")
     assert sorted((x for x in got if x[1] not in e), key=str) == sorted([(1, text("a")), (5, text("b")), (6, text("c")), (6, text("d")), (None, text("f")), (8, ""), (9, None)], key=str)
+
+
+#: Names that the operators use, or used, inside.
+INNER = (
+    "kept_id", "kept_hash", "line_doc", "line_digests", "line_key", "mix_key", "mix_copy", "mix_size", "mix_range", "mix_taken", "score", "n_dropped", "n_lines", "join_hash", "text_hash", "rest",
+    "doc", "class_set", "class_id", "again", "again_hash", "ids", "key", "size", "none", "block", "node", "host", "decoded", "passages",
+)
+
+
+@pytest.mark.parametrize("at", range(len(corpus_pipeline.STAGES)))
+def test_stages_keep_columns_of_any_name(spark, sf_dir, stages, at):
+    stage = corpus_pipeline.STAGES[at][1]
+    docs = stages[at].select("*", *[F.lit(n).alias(n) for n in INNER])
+    got = stage(spark, docs, sf_dir)
+    if at + 1 < len(corpus_pipeline.STAGES):
+        assert got.columns == docs.columns and got.where(" OR ".join(f"{n} IS NULL OR {n} <> '{n}'" for n in INNER)).count() == 0
+    assert got.count() == stages[at + 1].count()
+
+
+def test_run_leaves_one_stage(spark, sf_dir, monkeypatch):
+    folders, shared = [], corpus_pipeline.shared_folder
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda *a: folders.append(shared(*a)) or folders[-1])
+    assert corpus_pipeline.run(spark, sf_dir).count() > 0
+    names = [p.name for p in pathlib.Path(folders[0].removeprefix("file:")).iterdir() if not p.name.startswith(".")]
+    assert names == ["3-mixing"]
