@@ -80,7 +80,7 @@ def test_models_agree(intervals):
         assert minutes.curve(minutes.deltas(intervals, DIMS, kind)).agg(F.max("live")).first()[0] == peak
     assert Q.crosscheck(gold, minutes.deltas(intervals, DIMS, "a")).first().asDict() == {"g1_peak": 15, "g2_peak": 15, "n_differ": 0}
     assert Q.exact_peak(intervals).first()["exact_peak"] == 16
-    assert Q.exact_peak_bounded(intervals, gold, 1).first()["exact_peak"] == 16
+    assert Q.exact_peak_bounded(intervals, gold).first()["exact_peak"] == 16
     assert minutes.deltas(intervals, DIMS, "b").agg(F.sum("delta")).first()[0] == 0
 
 
@@ -137,6 +137,61 @@ def test_files(spark, intervals, tmp_path):
     assert "PartitionFilters: [isnotnull(minute_date" in part._jdf.queryExecution().executedPlan().toString()
 
 
+def test_first_version_of_csv(spark, tmp_path):
+    (tmp_path / "old.csv").write_text("content_id,video_session_id,event_type,event,event_timestamp,platform,session_start_epoch,_offset\n1,s,VideoHeartbeat,x,1700000000000,web,1700000000000,7\n")
+    (tmp_path / "new.csv").write_text("video_resolution,video_session_id,content_id\n1920*1080,s,2\n")
+    old, new = (files.read_csv_events(spark, f"{tmp_path}/{n}.csv") for n in ("old", "new"))
+    assert old.schema == new.schema == EVENTS
+    assert old.first().asDict() | {"video_resolution": None, "content_id": 1, "event_timestamp": 1_700_000_000_000} == old.first().asDict()
+    assert (new.first()["video_resolution"], new.first()["content_id"], new.first()["event"]) == ("1920*1080", 2, None)
+    (tmp_path / "content.csv").write_text("content_id,title,video_type,category\n1,t,v,c\n")
+    assert files.read_csv_content(spark, f"{tmp_path}/content.csv").first().asDict() == {"content_id": 1, "title": "t", "video_type": "v", "category": "c", "show_name": None}
+
+
+def test_layouts(spark, intervals, tmp_path):
+    import pyarrow.parquet as pq
+
+    gold = minutes.occupancy(intervals, DIMS).withColumn("country", F.concat("country", F.pmod("minute_id", F.lit(7)).cast("string")))
+    files.write_minutes(gold, f"{tmp_path}/gold")
+    for path in (tmp_path / "gold").rglob("*.parquet"):  # sorted, and the statistics say so
+        rows = pq.read_table(path).to_pylist()
+        order = [(r["country"], r["video_type"], r["platform"], r["content_id"], r["minute_id"]) for r in rows]
+        assert order == sorted(order)
+        meta = pq.ParquetFile(path).metadata
+        column = next(meta.row_group(0).column(i) for i in range(meta.num_columns) if meta.row_group(0).column(i).path_in_schema == "country")
+        assert (column.statistics.min, column.statistics.max) == (order[0][0], order[-1][0])
+    raw = spark.range(50_000).selectExpr("1L AS content_id", "concat('v', id) AS app_version", "1700000000000 AS session_start_epoch").withColumns({f.name: F.lit(None).cast(f.dataType) for f in EVENTS if f.name not in ("content_id", "app_version", "session_start_epoch")})
+    files.append_events(raw.select(EVENTS.names), f"{tmp_path}/events")
+    # a value between the least and the largest one that isn't there: the Bloom filter keeps all rows from being read
+    read = spark.read.option("parquet.filter.dictionary.enabled", "false").parquet(f"{tmp_path}/events")
+    scanned = []
+    for column, value in (("app_version", "v123"), ("app_version", "v12345x")):
+        execution = read.where(F.col(column) == value)._jdf.queryExecution()
+        execution.toRdd().count()
+        scanned.append(execution.executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value())
+    assert scanned[0] > 0 and scanned[1] == 0
+
+
+def test_served_tables(spark, sf_dir):
+    from tidemark.plans import served
+
+    first = served.served(spark, sf_dir, registry.CONFIG)
+    assert served.served(spark, sf_dir, registry.CONFIG) is first
+    gold = first.minutes(spark)
+    totals = gold.groupBy("minute_id").agg(F.sum("cnt_a").alias("cnt_a"), F.sum("cnt_b").alias("cnt_b"))
+    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, first.totals(spark).select("minute_id", "cnt_a", "cnt_b").collect()))
+    part = first.minutes(spark, registry.FIRST, registry.LAST)
+    assert "PartitionFilters: [isnotnull(minute_date" in part._jdf.queryExecution().executedPlan().toString()
+    assert served.refresh(spark, sf_dir, registry.CONFIG).folder != first.folder
+
+
+def test_shuffles_grow_with_intervals_not_minutes(spark):
+    """The exchanges of the minute table come before minutes are unfolded."""
+    plan = minutes.occupancy(spark.createDataFrame([("s", 0, 10**9, "a")], "session_id string, start_ms long, end_ms long, platform string"), ("platform",))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.index("explode(sequence(") < text.index("Exchange")
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from("SEBGHX"), st.integers(0, 400)), min_size=1, max_size=12))
 def test_machine_properties(session):

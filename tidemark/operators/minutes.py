@@ -26,16 +26,44 @@ def merged_runs(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
     return run.groupBy("session_id", "run", *dims).agg(F.min("first").alias("start_minute"), (F.max("last") + 1).alias("end_minute")).drop("run")
 
 
+def touched_spans(intervals: DataFrame) -> DataFrame:
+    """intervals with the minutes [low_a, high_a) at whose first instant they are active, and the minutes [low_b, high_b) that they are
+    the first of their session to touch. Spans may be empty; those of a session don't overlap, so sums over them are distinct counts."""
+    by_start = Window.partitionBy("session_id").orderBy("start_ms")
+    last = floor_minute(F.col("end_ms") - 1)
+    spans = {"low_a": ceil_minute(F.col("start_ms")), "high_a": ceil_minute(F.col("end_ms")), "low_b": floor_minute(F.col("start_ms")), "high_b": last + 1}
+    return intervals.withColumns(spans).withColumn("low_b", F.greatest("low_b", F.lag("high_b").over(by_start)))
+
+
+def changes(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
+    """Changes (change_a, change_b) of both counts by minute and dims. Partial sums meet in one exchange, of at most a row for each
+    minute and dims that each task has."""
+    ends = []
+    for kind in "ab":
+        some = F.col(f"low_{kind}") < F.col(f"high_{kind}")
+        for edge, sign in (("low", 1), ("high", -1)):
+            own = [F.lit(sign if k == kind else 0).alias(f"change_{k}") for k in "ab"]
+            ends.append(F.when(some, F.struct(F.col(f"{edge}_{kind}").alias("minute_id"), *own)))
+    rows = touched_spans(intervals).select(*dims, F.inline(F.filter(F.array(*ends), lambda x: x.isNotNull())))
+    return rows.groupBy("minute_id", *dims).agg(F.sum("change_a").alias("change_a"), F.sum("change_b").alias("change_b"))
+
+
 def occupancy(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
-    """Minute table: cnt_a and cnt_b of each minute and dims.
+    """Minute table: cnt_a and cnt_b of each minute and dims, for minutes that some session touches.
 
-    cnt_a counts the minutes of intervals and cnt_b those of merged runs. Neither repeats a session within a minute, so plain sums are
-    distinct counts, and map-side partial sums meet in a single exchange.
+    It comes from changes alone: their running sums by dims are the counts from one change to the next, and only the result is unfolded
+    to minutes. So what is shuffled grows with the intervals, not with the minutes that they last. Of fewer dims it is the sum over
+    the others, as a session has one value of each.
     """
-    a = session_minutes(intervals, "a").select("minute_id", *dims, F.lit(1).alias("a"), F.lit(0).alias("b"))
-    runs = merged_runs(intervals, dims)
-    b = runs.select(F.explode(F.sequence("start_minute", F.col("end_minute") - 1)).alias("minute_id"), *dims, F.lit(0).alias("a"), F.lit(1).alias("b"))
-    return a.unionByName(b).groupBy("minute_id", *dims).agg(F.sum("a").alias("cnt_a"), F.sum("b").alias("cnt_b"))
+    net = changes(intervals, dims)
+    if dims:
+        order = Window.partitionBy(*dims).orderBy("minute_id")
+        so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+        net = net.withColumns({f"cnt_{k}": F.sum(f"change_{k}").over(so_far) for k in "ab"} | {"next_minute": F.lead("minute_id").over(order)})
+    else:
+        net = running(running(net, "minute_id", "change_a", "cnt_a"), "minute_id", "change_b", "cnt_b", following="next_minute")
+    net = net.where((F.col("cnt_a") > 0) | (F.col("cnt_b") > 0))
+    return net.select(F.explode(F.sequence("minute_id", F.col("next_minute") - 1)).alias("minute_id"), *dims, "cnt_a", "cnt_b")
 
 
 def occupancy_by_join(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
@@ -57,16 +85,23 @@ def deltas(intervals: DataFrame, dims: tuple[str, ...], kind: str) -> DataFrame:
     return spans.select(*dims, F.inline(ends)).groupBy("minute_id", *dims).agg(F.sum("change").alias("delta")).withColumn("delta_kind", F.lit(kind))
 
 
-def running(rows: DataFrame, order: str, change: str, out: str, chunk: int = 1440) -> DataFrame:
-    """rows (order, change; one row for each value of order) with the running sum of change.
+def running(rows: DataFrame, order: str, change: str, out: str, chunk: int = 1440, following: str | None = None) -> DataFrame:
+    """rows (order, change; one row for each value of order) with the running sum of change and, if named, the following value of order.
 
     Prefix sums in two levels: within chunks of order, and over the chunks' totals, of which there is one row for each chunk.
     """
     part = rows.withColumn("chunk", F.floor(F.col(order) / chunk).cast("long"))
-    totals = part.groupBy("chunk").agg(F.sum(change).alias("total"))
-    before = totals.select("chunk", (F.sum("total").over(Window.orderBy("chunk").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("carried"))
-    own = F.sum(change).over(Window.partitionBy("chunk").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    return part.withColumn(out, own).join(before, "chunk").withColumn(out, F.col(out) + F.col("carried")).drop("chunk", "carried")
+    totals = part.groupBy("chunk").agg(F.sum(change).alias("total"), F.min(order).alias("head"))
+    by_chunk, within = Window.orderBy("chunk"), Window.partitionBy("chunk").orderBy(order)
+    before = (F.sum("total").over(by_chunk.rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")).alias("carried")
+    carried = totals.select("chunk", before, F.lead("head").over(by_chunk).alias("next_head"))
+    part = part.withColumn(out, F.sum(change).over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    if following:
+        part = part.withColumn(following, F.lead(order).over(within))
+    part = part.join(carried, "chunk").withColumn(out, F.col(out) + F.col("carried"))
+    if following:
+        part = part.withColumn(following, F.coalesce(following, "next_head"))
+    return part.drop("chunk", "carried", "next_head")
 
 
 def curve(delta: DataFrame) -> DataFrame:

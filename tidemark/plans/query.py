@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import MINUTE_MS
-from tidemark.functions.columns import floor_minute
-from tidemark.operators.minutes import curve, running
+from tidemark.functions.columns import floor_minute, minute_time
+from tidemark.operators.minutes import curve, occupancy, running
 
 
 @dataclass(frozen=True)
@@ -46,6 +46,16 @@ class ConcurrencyQuery:
             out = out.where(F.col(name).like(pattern))
         return out
 
+    def on_intervals(self, intervals: DataFrame, *dims: str) -> DataFrame:
+        """A minute table of dims alone that answers this question, from intervals: filters of dimensions are applied to the intervals
+        first, and minutes are counted for the asked dims only. Ask it with without_dims(), as its filters are applied."""
+        own = {**dict.fromkeys(self.filters), **dict.fromkeys(self.like)}
+        some = replace(self, first_minute=None, last_minute=None, minutes=None, last_minutes=None).rows(intervals) if own else intervals
+        return occupancy(some, dims)
+
+    def without_dims(self) -> ConcurrencyQuery:
+        return replace(self, filters={}, like={})
+
     def by_minute(self, gold: DataFrame, *dims: str) -> DataFrame:
         """The concurrency curve: minute_id, dims and c."""
         return self.rows(gold).groupBy("minute_id", *dims).agg(F.sum(self.metric).alias("c"))
@@ -64,6 +74,11 @@ class ConcurrencyQuery:
         span = F.max("minute_id") - F.min("minute_id") + 1
         return self.by_minute(gold).agg((F.sum("c") / span).alias("avg_filled"), span.alias("n_minutes"))
 
+    def report(self, gold: DataFrame) -> DataFrame:
+        """Peak, its time in UTC as text, and the average over the minutes that have a row, to two digits."""
+        found = self.peak(gold)
+        return found.select("peak", F.round("avg_observed", 2).alias("avg_rounded"), F.date_format(minute_time(F.col("peak_minute")), "yyyy-MM-dd HH:mm").alias("peak_time"))
+
     def declines(self, gold: DataFrame, drop: float = 0.3) -> DataFrame:
         """Minutes that fall by more than this share against the row before. The window runs over one row for each minute."""
         at = self.by_minute(gold).withColumn("prev_c", F.lag("c").over(Window.orderBy("minute_id")))
@@ -81,13 +96,16 @@ def time_range(gold: DataFrame) -> DataFrame:
 
 
 def crosscheck(gold: DataFrame, delta: DataFrame) -> DataFrame:
-    """Peaks of both models, and the number of minutes where they differ; delta is of kind a."""
+    """Peaks of both models, and the number of minutes where they differ; delta is of kind a. The delta model is unfolded from each of
+    its changes to the next."""
     counted = gold.groupBy("minute_id").agg(F.sum("cnt_a").alias("counted"))
-    both = counted.where("counted > 0").join(curve(delta), "minute_id", "full")
-    # a minute without a change has the level of the last change before it
-    level = F.last("live", ignorenulls=True).over(Window.orderBy("minute_id").rowsBetween(Window.unboundedPreceding, 0))
-    both = both.withColumn("level", level)
-    return both.agg(F.max("counted").alias("g1_peak"), F.max("level").alias("g2_peak"), F.count_if(F.coalesce("counted", F.lit(0)) != F.col("level")).alias("n_differ"))
+    net = delta.groupBy("minute_id").agg(F.sum("delta").alias("delta"))
+    level = running(net, "minute_id", "delta", "level", following="next_minute").where("level <> 0")
+    level = level.select(F.explode(F.sequence("minute_id", F.coalesce("next_minute", F.col("minute_id") + 1) - 1)).alias("minute_id"), "level")
+    both = counted.join(level, "minute_id", "full")
+    zero = F.lit(0).cast("long")
+    differ = F.count_if(F.coalesce("counted", zero) != F.coalesce("level", zero))
+    return both.agg(F.max("counted").alias("g1_peak"), F.max("level").alias("g2_peak"), differ.alias("n_differ"))
 
 
 def windowed_read(delta: DataFrame, first_minute: int, last_minute: int) -> DataFrame:
@@ -106,6 +124,16 @@ def active_at(intervals: DataFrame, instant_ms: int) -> DataFrame:
     return intervals.where((F.col("start_ms") <= instant_ms) & (F.col("end_ms") > instant_ms))
 
 
+def active_at_each(intervals: DataFrame, instants: DataFrame, bucket_ms: int = 3_600_000) -> DataFrame:
+    """Number of sessions active at each of instants (instant_ms). Both sides meet by buckets of time, so it is a join on equal keys, and an
+    interval is repeated only for the buckets that it lasts."""
+    low, high = (F.floor(F.col(c) / bucket_ms).cast("long") for c in ("start_ms", "end_ms"))
+    spans = intervals.select("start_ms", "end_ms", F.explode(F.sequence(low, high)).alias("bucket"))
+    at = instants.select("instant_ms", F.floor(F.col("instant_ms") / bucket_ms).cast("long").alias("bucket"))
+    met = spans.join(at, "bucket").where((F.col("start_ms") <= F.col("instant_ms")) & (F.col("end_ms") > F.col("instant_ms")))
+    return at.select("instant_ms").distinct().join(met.groupBy("instant_ms").agg(F.count("*").alias("n")), "instant_ms", "left").select("instant_ms", F.coalesce("n", F.lit(0).cast("long")).alias("sessions"))
+
+
 def open_sessions(intervals: DataFrame, k: int = 50) -> DataFrame:
     """The k last ending intervals of open sessions."""
     return intervals.where("is_open = 1").orderBy(F.col("end_ms").desc(), "session_id", "start_ms").limit(k)
@@ -119,47 +147,46 @@ def exact_peak(intervals: DataFrame) -> DataFrame:
     return level.agg(F.max("live").alias("exact_peak"), (-F.max(F.struct(F.col("live"), -F.col("t")))["col2"]).alias("at_ms"))
 
 
-def exact_peak_bounded(intervals: DataFrame, gold: DataFrame, first: int = 8) -> DataFrame:
-    """The same peak, by bounds: cnt_b bounds the level within its minute, so minutes are swept in falling order of cnt_b until the
-    next bound is no larger than the best level found. Only the intervals of those minutes are read; at most a batch of minute
-    ids comes to the driver at once."""
-    bounds = ConcurrencyQuery("cnt_b").by_minute(gold)
-    order = bounds.orderBy(F.col("c").desc(), "minute_id")
-    spark, k, best, done = intervals.sparkSession, first, 0, 0
-    while True:
-        batch = order.limit(k + 1).collect()
-        minutes = [r["minute_id"] for r in batch[done:k]]
-        if minutes:
-            wanted = F.broadcast(spark.createDataFrame([(m,) for m in minutes], "minute_id long"))
-            span = F.sequence(floor_minute(F.col("start_ms")), floor_minute(F.col("end_ms") - 1))
-            at = intervals.select("start_ms", "end_ms", F.explode(F.filter(span, lambda m: m.isin(*minutes))).alias("minute_id")).join(wanted, "minute_id")
-            begin = F.col("minute_id") * MINUTE_MS
-            ends = F.array(F.struct(F.greatest("start_ms", begin).alias("t"), F.lit(1).alias("d")), F.struct(F.col("end_ms").alias("t"), F.lit(-1).alias("d")))
-            net = at.select("minute_id", F.inline(ends)).groupBy("minute_id", "t").agg(F.sum("d").alias("d"))
-            live = F.sum("d").over(Window.partitionBy("minute_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
-            best = max(best, net.withColumn("live", live).agg(F.max("live")).first()[0] or 0)
-        if len(batch) <= k or batch[k]["c"] <= best:
-            return spark.createDataFrame([(best,)], "exact_peak long")
-        done, k = k, 2 * k
+def exact_peak_bounded(intervals: DataFrame, gold: DataFrame) -> DataFrame:
+    """The same peak, by bounds: no level is below the largest cnt_a, which is the level at some instant, and none within a minute is
+    above its cnt_b. So only minutes whose cnt_b is above the largest cnt_a are swept, in one pass, and of the intervals only what lies
+    in them is shuffled."""
+    bounds = gold.groupBy("minute_id").agg(F.sum("cnt_a").alias("a"), F.sum("cnt_b").alias("b"))
+    lower = bounds.agg(F.coalesce(F.max("a"), F.lit(0).cast("long")).alias("lower"))  # one row
+    wanted = bounds.crossJoin(F.broadcast(lower)).where("b > lower").select("minute_id")
+    span = wanted.agg(F.min("minute_id").alias("from_minute"), F.max("minute_id").alias("to_minute"))  # one row
+    first, last = floor_minute(F.col("start_ms")), floor_minute(F.col("end_ms") - 1)
+    near = intervals.select("start_ms", "end_ms").crossJoin(F.broadcast(span)).where((first <= F.col("to_minute")) & (last >= F.col("from_minute")))
+    near = near.select("start_ms", "end_ms", F.explode(F.sequence(F.greatest(first, "from_minute"), F.least(last, "to_minute"))).alias("minute_id"))
+    at = near.join(wanted, "minute_id")
+    begin = F.col("minute_id") * MINUTE_MS
+    ends = F.array(F.struct(F.greatest("start_ms", begin).alias("t"), F.lit(1).alias("d")), F.struct(F.col("end_ms").alias("t"), F.lit(-1).alias("d")))
+    net = at.select("minute_id", F.inline(ends)).groupBy("minute_id", "t").agg(F.sum("d").alias("d"))
+    live = F.sum("d").over(Window.partitionBy("minute_id").orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
+    best = net.withColumn("live", live).agg(F.max("live").alias("best"))
+    return best.crossJoin(F.broadcast(lower)).select(F.greatest("best", "lower").alias("exact_peak"))
 
 
 def bucket_sensitivity(intervals: DataFrame, widths_ms: Iterable[int] = (1_000, 60_000, 300_000)) -> DataFrame:
-    """Peaks of both counts for several widths of the bucket, from signed changes alone."""
-    out = None
-    for width in widths_ms:
-        floor = lambda c: F.floor(c / width).cast("long")  # noqa: B023, E731
-        spans = {"cnt_a": (floor(F.col("start_ms") + width - 1), floor(F.col("end_ms") + width - 1)), "cnt_b": (floor(F.col("start_ms")), floor(F.col("end_ms") - 1) + 1)}
-        for metric, (low, high) in spans.items():
-            touched = intervals.select("session_id", low.alias("low"), high.alias("high")).where("high > low")
-            by_start = Window.partitionBy("session_id").orderBy("low", "high")
-            # a session that touches a bucket twice counts once: later spans begin where the earlier ones end
-            reached = F.max("high").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-            touched = touched.withColumn("low", F.greatest("low", F.coalesce(reached, F.col("low")))).where("high > low")
-            ends = F.array(F.struct(F.col("low").alias("t"), F.lit(1).alias("d")), F.struct(F.col("high").alias("t"), F.lit(-1).alias("d")))
-            net = touched.select(F.inline(ends)).groupBy("t").agg(F.sum("d").alias("d"))
-            peak = running(net, "t", "d", "live", max(1, 3_600_000 // width)).agg(F.max("live").alias("peak")).select(F.lit(width).cast("long").alias("bucket_ms"), F.lit(metric).alias("metric"), "peak")
-            out = peak if out is None else out.union(peak)
-    return out
+    """Peaks of both counts for several widths of the bucket, from signed changes alone. The intervals are computed once; all widths and
+    counts go through the same sums."""
+    floor = lambda c, w: F.call_function("div", c, w)
+    width = F.col("bucket_ms")
+    each = intervals.select("session_id", "start_ms", "end_ms", F.explode(F.array(*[F.lit(w).cast("long") for w in widths_ms])).alias("bucket_ms"))
+    # a session that touches a bucket twice counts once: later spans begin where the earlier ones end
+    by_start = Window.partitionBy("session_id", "bucket_ms").orderBy("start_ms")
+    each = each.withColumns({"high_b": floor(F.col("end_ms") - 1, width) + 1})
+    each = each.withColumn("low_b", F.greatest(floor(F.col("start_ms"), width), F.lag("high_b").over(by_start)))
+    spans = [("cnt_a", floor(F.col("start_ms") + width - 1, width), floor(F.col("end_ms") + width - 1, width)), ("cnt_b", F.col("low_b"), F.col("high_b"))]
+    ends = [F.when(low < high, F.struct(F.lit(m).alias("metric"), t.alias("t"), F.lit(d).alias("d"))) for m, low, high in spans for t, d in ((low, 1), (high, -1))]
+    net = each.select("bucket_ms", F.inline(F.filter(F.array(*ends), lambda x: x.isNotNull()))).groupBy("bucket_ms", "metric", "t").agg(F.sum("d").alias("d"))
+    # prefix sums in two levels: within hours, and over hours
+    keys = ("bucket_ms", "metric")
+    net = net.withColumn("hour", floor(F.col("t") * width, F.lit(3_600_000)))
+    within = Window.partitionBy(*keys, "hour").orderBy("t").rowsBetween(Window.unboundedPreceding, 0)
+    hours = net.withColumn("live", F.sum("d").over(within)).groupBy(*keys, "hour").agg(F.max("live").alias("most"), F.sum("d").alias("total"))
+    before = F.sum("total").over(Window.partitionBy(*keys).orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)) - F.col("total")
+    return hours.withColumn("peak", F.col("most") + before).groupBy(*keys).agg(F.max("peak").alias("peak"))
 
 
 def dense_curve(gold: DataFrame, metric: str = "cnt_a") -> DataFrame:
