@@ -53,6 +53,11 @@ def minute_time(minute: Column) -> Column:
     return F.timestamp_seconds(minute * 60)
 
 
+def month_of(ms: Column) -> Column:
+    """UTC month of an instant, as a number such as 202401."""
+    return F.date_format(F.timestamp_millis(ms), "yyyyMM").cast("int")
+
+
 def filled(value: Column) -> Column:
     """value, or unk where it is null or empty."""
     return F.coalesce(F.nullif(value, F.lit("")), F.lit("unk"))
