@@ -101,6 +101,24 @@ def active_intervals(events: DataFrame, config: EngineConfig = EngineConfig()) -
     )
 
 
+def active_intervals_by_definition(events: DataFrame, config: EngineConfig = EngineConfig(), definitions: tuple[str, ...] = ("FG", "ENG")) -> DataFrame:
+    """Active intervals under several definitions at once, with the column defn. Each definition of a session goes through the same pass as
+    a session of its own, so the events meet in one exchange."""
+    codes = [F.struct(F.lit(d).alias("defn"), C.state_code(d, F.col("event_type"), F.col("event")).alias("code")) for d in definitions]
+    each = events.drop("st").select("*", F.inline(F.array(*codes))).withColumnRenamed("code", "st")
+    each = each.withColumn("session_id", F.struct("defn", "session_id")).drop("defn")
+    found = active_intervals(each, config)
+    return found.select(F.col("session_id.defn").alias("defn"), F.col("session_id.session_id").alias("session_id"), *[c for c in found.columns if c != "session_id"])
+
+
+def alive_windows(events: DataFrame, gap_ms: int) -> DataFrame:
+    """Spans of each session without silence longer than gap_ms, by Spark's session windows: first and last instant and number of events.
+    They cross-check the gaps that transitions close."""
+    window = F.session_window(F.timestamp_millis("ts_ms"), F.lit(f"{gap_ms} milliseconds"))
+    spans = events.groupBy("session_id", window.alias("span")).agg(F.min("ts_ms").alias("first_ms"), F.max("ts_ms").alias("last_ms"), F.count("*").alias("n"))
+    return spans.drop("span")
+
+
 def gap_transitions(events: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """The changes that silence alone implies: 0 at gap_ms after the last instant before it, 1 at the first after it."""
     at = events.select("session_id", "ts_ms").distinct().withColumn("prev_ts", F.lag("ts_ms").over(by_time())).where(F.col("ts_ms") - F.col("prev_ts") > config.gap_ms)

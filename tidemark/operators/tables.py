@@ -20,3 +20,8 @@ def folded(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
 def touched(rows: DataFrame, part: DataFrame, key: str) -> DataFrame:
     """The rows whose key occurs in part."""
     return rows.join(part.select(key).distinct(), key, "left_semi")
+
+
+def routed(rows: DataFrame, by: str, kinds: tuple[str, ...]) -> dict[str, DataFrame]:
+    """The rows of each kind, without the column that names it: one log, a target for each kind. Other kinds go nowhere."""
+    return {kind: rows.where(F.col(by) == kind).drop(by) for kind in kinds}
