@@ -12,6 +12,7 @@ from tidemark.config import EngineConfig
 from tidemark.functions import columns as C
 from tidemark.operators import audits, minutes, sessions, tables
 from tidemark.plans import query as Q
+from tidemark.plans.served import refresh, served
 from tidemark.plans.sql import ORACLES
 from tidemark.sources.adapters import GAP_MS, sample_content, sample_events
 
@@ -31,10 +32,48 @@ def intervals(spark: SparkSession, sf_dir: str, config: EngineConfig = CONFIG) -
     return sessions.active_intervals(events(spark, sf_dir, config), config)
 
 
-def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+def built_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minutes.occupancy(intervals(spark, sf_dir), DIMS)
 
 
+def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served minute table."""
+    return served(spark, sf_dir, CONFIG).minutes(spark)
+
+
+def gold_within(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dates of the served minute table that hold FIRST to LAST."""
+    return served(spark, sf_dir, CONFIG).minutes(spark, FIRST, LAST)
+
+
+def kept_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The served interval table."""
+    return served(spark, sf_dir, CONFIG).intervals(spark)
+
+
+def _refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = refresh(spark, sf_dir, CONFIG).minutes(spark)
+    return table.agg(F.count("*").alias("n_rows"), F.sum("cnt_a").alias("a"), F.sum("cnt_b").alias("b"), F.max("minute_id").alias("last_minute"))
+
+
+def _state_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads the array form of the sessions through a view, which stores nothing."""
+    _arrays(events(spark, sf_dir)).createOrReplaceTempView("session_state")
+    return spark.sql("SELECT session_id, live_ts, changes FROM session_state WHERE changes <> ''")
+
+
+def _routed(iv: DataFrame) -> DataFrame:
+    log = minutes.deltas(iv, DIMS, "a").unionByName(minutes.deltas(iv, DIMS, "b"))
+    targets = tables.routed(log, "delta_kind", ("a", "b"))
+    sums = [targets[k].groupBy("platform").agg(F.sum(F.abs("delta")).alias("moves")).withColumn("target", F.lit(k)) for k in targets]
+    return sums[0].unionByName(sums[1])
+
+
+def _instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    instants = spark.range(FROM_MS, TO_MS, 7_200_000).select(F.col("id").alias("instant_ms"))
+    return Q.active_at_each(kept_intervals(spark, sf_dir), instants)
+
+
 def _on(source: Callable[[SparkSession, str], DataFrame], use: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: use(source(spark, sf_dir))
 
@@ -57,12 +96,12 @@ def _delta(kind: str) -> Callable[[DataFrame], DataFrame]:
     return lambda iv: minutes.deltas(iv, DIMS, kind)
 
 
-def _crosscheck(iv: DataFrame) -> DataFrame:
-    return Q.crosscheck(minutes.occupancy(iv, DIMS), minutes.deltas(iv, DIMS, "a"))
+def _crosscheck(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.crosscheck(gold(spark, sf_dir), minutes.deltas(kept_intervals(spark, sf_dir), DIMS, "a"))
 
 
-def _bounded(iv: DataFrame) -> DataFrame:
-    return Q.exact_peak_bounded(iv, minutes.occupancy(iv, DIMS))
+def _bounded_served(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.exact_peak_bounded(kept_intervals(spark, sf_dir), served(spark, sf_dir, CONFIG).totals(spark))
 
 
 def _hours(iv: DataFrame) -> DataFrame:
@@ -129,33 +168,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "session_minutes_a": _on(intervals, _minutes("a")),
         "session_minutes_b": _on(intervals, _minutes("b")),
         "merged_runs": _on(intervals, lambda iv: minutes.merged_runs(iv, DIMS)),
-        "g1_minute": gold,
+        "g1_minute": built_gold,
+        "g1_refresh": _refreshed,
         "g1_minute_fullouter": _on(intervals, lambda iv: minutes.occupancy_by_join(iv, DIMS)),
         "g1_minute_by_tier": _tiers,
         "g2_delta_a": _on(intervals, _delta("a")),
         "g2_delta_b": _on(intervals, _delta("b")),
-        "g2_curve": _on(intervals, lambda iv: minutes.curve(minutes.deltas(iv, DIMS, "a"))),
-        "g1_g2_crosscheck": _on(intervals, _crosscheck),
+        "g2_curve": _on(kept_intervals, lambda iv: minutes.curve(minutes.deltas(iv, DIMS, "a"))),
+        "g1_g2_crosscheck": _crosscheck,
         "peak_avg": _on(gold, lambda g: ask().peak(g)),
-        "peak_avg_filtered": _on(gold, lambda g: ask("cnt_b", {"platform": ["MWEB", "WEB"]}, {"country": "%A%"}, FIRST, LAST).peak(g)),
+        "peak_avg_filtered": _on(gold_within, lambda g: ask("cnt_b", {"platform": ["MWEB", "WEB"]}, {"country": "%A%"}, FIRST, LAST).peak(g)),
         "peak_last_hour": _on(gold, lambda g: ask(like={"platform": "%ANDROID%"}, last_minutes=60).peak(g)),
-        "peak_hour_grain": _on(gold, lambda g: ask(first_minute=FIRST, last_minute=LAST).peak_by_grain(g, 60)),
+        "peak_hour_grain": _on(gold_within, lambda g: ask(first_minute=FIRST, last_minute=LAST).peak_by_grain(g, 60)),
         "peak_day_grain": _on(gold, lambda g: ask().peak_by_grain(g, 1440, 330)),
         "peak_by_platform": _on(gold, lambda g: ask().peak(g, "platform")),
         "peak_by_content": _on(gold, lambda g: ask().peak(g, "content_id")),
         "concurrency_curve": _on(gold, lambda g: ask().by_minute(g)),
         "dense_curve": _on(gold, lambda g: Q.dense_curve(g)),
         "avg_filled": _on(gold, lambda g: ask().average_filled(g)),
-        "reach_range": _on(intervals, lambda iv: Q.reach(iv, FROM_MS, TO_MS, platform="WEB")),
-        "exact_peak": _on(intervals, Q.exact_peak),
-        "exact_peak_bounded": _on(intervals, _bounded),
-        "bucket_sensitivity": _on(intervals, Q.bucket_sensitivity),
-        "open_sessions": _on(intervals, lambda iv: Q.open_sessions(iv).select("session_id", "platform", "content_id", "start_ms", "end_ms", "is_open")),
+        "reach_range": _on(kept_intervals, lambda iv: Q.reach(iv, FROM_MS, TO_MS, platform="WEB")),
+        "exact_peak": _on(kept_intervals, Q.exact_peak),
+        "exact_peak_bounded": _bounded_served,
+        "bucket_sensitivity": _on(kept_intervals, Q.bucket_sensitivity),
+        "open_sessions": _on(kept_intervals, lambda iv: Q.open_sessions(iv).select("session_id", "platform", "content_id", "start_ms", "end_ms", "is_open")),
         "decline_alerts": _on(gold, lambda g: ask().declines(g)),
         "gap_histogram": _on(events, lambda ev: audits.gap_histogram(ev, (3_600_000, 5_400_000, GAP_MS, 14_400_000))),
         "range_peak_listed": _on(gold, lambda g: ask(minutes=LISTED).peak(g)),
-        "g2_windowed_read": _on(intervals, lambda iv: Q.windowed_read(minutes.deltas(iv, DIMS, "a"), FIRST, LAST)),
-        "drilldown_at": _on(intervals, lambda iv: Q.active_at(iv, INSTANT_MS).select("session_id", "start_ms", "end_ms", "platform")),
+        "g2_windowed_read": _on(kept_intervals, lambda iv: Q.windowed_read(minutes.deltas(iv, DIMS, "a"), FIRST, LAST)),
+        "drilldown_at": _on(kept_intervals, lambda iv: Q.active_at(iv, INSTANT_MS).select("session_id", "start_ms", "end_ms", "platform")),
         "dup_boundary_audit": _on(events, audits.repeated_edges),
         "error_audit": _on(events, lambda ev: audits.after_errors(ev, C.BACKGROUND)),
         "platform_switch_audit": _on(events, audits.changing),
@@ -165,9 +205,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "lang_normalize": _languages,
         "signal_classify": _on(events, lambda ev: ev.groupBy("signal", "buffer").agg(F.count("*").alias("n"))),
         "replacing_latest": _on(events, _latest),
-        "summing_fold": _on(intervals, _hours),
+        "summing_fold": _on(kept_intervals, _hours),
         "semi_touched": _on(events, _touched),
         "minmax_by_pins": _on(events, _pins),
+        "active_intervals_both": _on(events, lambda ev: sessions.active_intervals_by_definition(ev, CONFIG).select("defn", "session_id", "start_ms", "end_ms")),
+        "peak_report": _on(gold, lambda g: ask().report(g)),
+        "peak_from_intervals": _on(kept_intervals, lambda iv: (q := ask(filters={"platform": ["MWEB", "WEB"]})).without_dims().peak(q.on_intervals(iv, "country"), "country")),
+        "alive_windows": _on(events, lambda ev: sessions.alive_windows(ev, GAP_MS)),
+        "active_at_each": _instants,
+        "session_state_view": _state_view,
+        "routed_deltas": _on(kept_intervals, _routed),
+        "events_by_month": _on(events, lambda ev: ev.groupBy(C.month_of(F.col("ts_ms")).alias("month")).agg(F.count("*").alias("n"))),
     }
 
 

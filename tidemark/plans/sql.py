@@ -120,7 +120,9 @@ _BODIES = {
     "g2_delta_a": f"SELECT minute_id, {_DIMS}, CAST(sum(d) AS BIGINT) AS delta, 'a' AS delta_kind FROM da GROUP BY minute_id, {_DIMS}",
     "g2_delta_b": f"SELECT minute_id, {_DIMS}, CAST(sum(d) AS BIGINT) AS delta, 'b' AS delta_kind FROM db GROUP BY minute_id, {_DIMS}",
     "g2_curve": "SELECT minute_id, delta, live FROM cur",
-    "g1_g2_crosscheck": "SELECT (SELECT max(c) FROM c) AS g1_peak, (SELECT max(live) FROM cur) AS g2_peak, CAST(0 AS BIGINT) AS n_differ",
+    "g1_g2_crosscheck": """SELECT (SELECT max(c) FROM c) AS g1_peak, (SELECT max(live) FROM cur) AS g2_peak,
+        (SELECT count(*) FROM (SELECT unnest(range((SELECT min(minute_id) FROM cur), (SELECT max(minute_id) + 1 FROM cur))) AS m) s
+         ASOF LEFT JOIN cur ON s.m >= cur.minute_id LEFT JOIN c ON c.minute_id = s.m WHERE coalesce(c.c, 0) <> coalesce(cur.live, 0)) AS n_differ""",
     "peak_avg": _peak(),
     "peak_avg_filtered": _peak(f"{_RANGE} AND platform IN ('MWEB', 'WEB') AND country LIKE '%A%'", metric="cnt_b"),
     "peak_last_hour": _peak("minute_id >= (SELECT max(minute_id) - 60 FROM g) AND platform LIKE '%ANDROID%'"),
@@ -158,6 +160,21 @@ _BODIES = {
     "replacing_latest": "SELECT user_id, session_id, ts_ms, content_id, event_type FROM ev QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts_ms DESC, content_id, event_type) = 1",
     "summing_fold": "SELECT platform, minute_id // 60 AS hour_id, CAST(sum(d) AS BIGINT) AS delta FROM da GROUP BY ALL",
     "semi_touched": "SELECT session_id, count(*) AS n FROM ev WHERE session_id IN (SELECT session_id FROM ev WHERE ts_ms >= 1705000000000) GROUP BY session_id",
+    "g1_refresh": "SELECT count(*) AS n_rows, CAST(sum(cnt_a) AS BIGINT) AS a, CAST(sum(cnt_b) AS BIGINT) AS b, max(minute_id) AS last_minute FROM g",
+    "peak_report": f"SELECT peak, round(avg_observed, 2) AS avg_rounded, strftime(make_timestamp(peak_minute * 60000000), '%Y-%m-%d %H:%M') AS peak_time FROM ({_peak()})",
+    "peak_from_intervals": _peak("platform IN ('MWEB', 'WEB')", by="country"),
+    "alive_windows": """SELECT session_id, min(ts_ms) AS first_ms, max(ts_ms) AS last_ms, CAST(sum(n) AS BIGINT) AS n FROM (
+        SELECT b.session_id, b.ts_ms, e.n, count(*) FILTER (b.ts_ms - b.prev_ts > 7200000) OVER (PARTITION BY b.session_id ORDER BY b.ts_ms) AS island
+        FROM beat b JOIN (SELECT session_id, ts_ms, count(*) AS n FROM ev GROUP BY ALL) e ON b.session_id = e.session_id AND b.ts_ms = e.ts_ms) GROUP BY session_id, island""",
+    "active_at_each": """SELECT t AS instant_ms, count(iv.session_id) AS sessions FROM (SELECT unnest(range(1705000000000, 1705600000000, 7200000)) AS t)
+        LEFT JOIN iv ON iv.start_ms <= t AND iv.end_ms > t GROUP BY t""",
+    "routed_deltas": """SELECT platform, target, CAST(sum(abs(d)) AS BIGINT) AS moves FROM (
+        SELECT 'a' AS target, platform, sum(d) AS d FROM da GROUP BY minute_id, platform, country, video_type, show_name, content_id
+        UNION ALL SELECT 'b', platform, sum(d) FROM db GROUP BY minute_id, platform, country, video_type, show_name, content_id) GROUP BY platform, target""",
+    "events_by_month": "SELECT CAST(strftime(make_timestamp(ts_ms * 1000), '%Y%m') AS INT) AS month, count(*) AS n FROM ev GROUP BY ALL",
     "minmax_by_pins": "SELECT session_id, min({'t': ts_ms, 'v': platform}).v AS first_platform, max({'t': ts_ms, 'v': platform}).v AS last_platform FROM ev GROUP BY session_id",
 }
+_BODIES["session_state_view"] = f"SELECT * FROM ({_BODIES['session_state_arrays']}) WHERE changes <> ''"
+_DEFINED = "SELECT '{0}' AS defn, session_id, start_ms, end_ms FROM iv"
 ORACLES = {name: f"{_FG} {body}" for name, body in _BODIES.items()} | {"active_intervals_eng": f"{_ENG} {_IV}"}
+ORACLES["active_intervals_both"] = f"SELECT * FROM ({_FG} {_DEFINED.format('FG')}) UNION ALL SELECT * FROM ({_ENG} {_DEFINED.format('ENG')})"
