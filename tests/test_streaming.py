@@ -6,7 +6,7 @@ from test_engine import DIMS, normal
 
 from tidemark.operators import minutes, sessions
 from tidemark.sources import files
-from tidemark.sources.schema import EVENTS
+from tidemark.sources.schema import CONTENT, EVENTS
 from tidemark.streaming.live import LiveMinutes, session_changes
 
 
@@ -18,16 +18,50 @@ def _batches(spark, path, cases, n=3, seed=1):
         spark.createDataFrame(raw[i::n], EVENTS).coalesce(1).write.mode("append").parquet(path)
 
 
+def _same(df, whole, columns):
+    return sorted(df.select(columns).collect(), key=str) == sorted(whole.select(columns).collect(), key=str)
+
+
+def _is_batch_result(live, ev):
+    whole = sessions.active_intervals(ev)
+    assert _same(live.minutes(), minutes.occupancy(whole, DIMS), ["minute_id", *DIMS, "cnt_a", "cnt_b"])
+    both = minutes.deltas(whole, DIMS, "a").unionByName(minutes.deltas(whole, DIMS, "b")).where("delta <> 0")
+    assert _same(live.deltas(), both, ["minute_id", *DIMS, "delta_kind", "delta"])
+    assert _same(live.intervals(), whole, ["session_id", "start_ms", "end_ms", *DIMS, "is_open", "is_provisional"])
+
+
 def test_batches_converge(spark, tmp_path):
     ev = normal(spark, CASES)
-    whole = sorted(minutes.occupancy(sessions.active_intervals(ev), DIMS).collect())
-    live = LiveMinutes(spark, f"{tmp_path}/live", parts=4)
+    live = LiveMinutes(spark, f"{tmp_path}/live", parts=4, compact_every=0)
+    assert live.minutes().count() == 0 and live.deltas().count() == 0 and live.intervals() is None
     at = F.pmod(F.xxhash64("ts_ms", "session_id"), F.lit(3))
     ev = ev.withColumn("third", at).persist()
     for i in range(3):
         live.add(ev.where(F.col("third") == i).drop("third"), i)
     live.add(ev.where("third = 2").drop("third"), 2)  # a repeated batch counts once
-    assert sorted(live.minutes().select("minute_id", *DIMS, "cnt_a", "cnt_b").collect()) == whole
+    _is_batch_result(live, ev)
+    live.compact(1)
+    assert len(live._folders("minutes")) == 2 and len(live._folders("events")) == 2
+    _is_batch_result(live, ev)
+    live.add(ev.where("third = 0").drop("third"), 0)  # and so does one that is compacted
+    live.compact(2)
+    assert [x[:2] for x in live._folders("intervals")] == [(0, 2)]
+    _is_batch_result(live, ev)
+
+
+def test_stream_survives_restarts(spark, tmp_path):
+    raw = rows(CASES)
+    random.Random(4).shuffle(raw)
+    halves = [raw[::2], raw[1::2] + raw[:5]]
+    catalog = spark.createDataFrame([(1, "t", "", "c", "s")], CONTENT)
+    for half in halves:
+        for i in range(2):
+            spark.createDataFrame(half[i::2], EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        # a new object and a new query go on where the last one stopped
+        live = LiveMinutes(spark, f"{tmp_path}/live", parts=4, compact_every=3)
+        live.start(sessions.normalize_events(files.stream_events(spark, f"{tmp_path}/in"), catalog), None).awaitTermination()
+    _is_batch_result(live, normal(spark, CASES))
+    assert [x[:2] for x in live._folders("minutes")] == [(0, 2), (3, 3)]
 
 
 def test_stateful_stream_converges(spark, tmp_path):

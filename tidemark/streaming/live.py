@@ -1,7 +1,8 @@
-"""Minute counts of a stream of events, which late and repeated events correct.
+"""Tables of a stream of events, which late and repeated events correct.
 
-Each micro-batch emits signed changes: the minutes of the touched sessions as they are now, less those that the sessions had before. The
-sum of all changes is the batch result over the events so far, in whatever order they came.
+Each micro-batch refreshes three tables in order: the intervals of the touched sessions, the minute counts and the signed deltas. The
+latter two get signed changes: what the touched sessions have now, less what they had before. The sum of all changes is the batch
+result over the events so far, in whatever order they came.
 """
 
 from __future__ import annotations
@@ -16,54 +17,131 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.config import EngineConfig
-from tidemark.operators.minutes import occupancy
+from tidemark.operators.minutes import deltas, occupancy
 from tidemark.operators.sessions import active_intervals
 from tidemark.operators.tables import touched
+from tidemark.sources.folders import exists, file_system, remove
 from tidemark.streaming.machine import intervals_of, minutes_of
 
 
 class LiveMinutes:
-    """Keeps events and signed minute counts under a folder that all nodes reach.
+    """Keeps events, intervals, signed minute counts and deltas under a folder that all nodes reach.
 
     Events lie in parts by a hash of the session, so a batch reads only the parts that it touches. Each batch writes files of its own
-    number, and writes them again if it is repeated, so every event counts once. No state is held between batches.
+    number, and writes them again if it is repeated, so every event counts once. No state is held between batches. Every compact_every
+    batches the files of older batches become one.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, config: EngineConfig = EngineConfig(), parts: int = 64):
-        self.spark, self.folder, self.config, self.parts = spark, folder.rstrip("/"), config, parts
+    def __init__(self, spark: SparkSession, folder: str, config: EngineConfig = EngineConfig(), parts: int = 64, compact_every: int = 100):
+        self.spark, self.folder, self.config, self.parts, self.compact_every = spark, folder.rstrip("/"), config, parts, compact_every
 
-    def _read(self, kind: str) -> DataFrame | None:
+    def _folders(self, kind: str) -> list[tuple[int, int, str]]:
+        """First and last batch of each folder of a table, and its path; a folder that a larger one holds is left out."""
         path = f"{self.folder}/{kind}"
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        there = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return self.spark.read.parquet(path) if there.exists(where) else None
-
-    def _counts(self, events: DataFrame, sign: int) -> DataFrame:
+        if not exists(self.spark, path):
+            return []
+        system, where = file_system(self.spark, path)
+        names = [x.getPath().getName() for x in system.listStatus(where) if x.isDirectory()]
+        names = [n for n in names if n.startswith("batch=") and exists(self.spark, f"{path}/{n}/_SUCCESS")]
+        spans = [(*map(int, n.removeprefix("batch=").split("-")), f"{path}/{n}") for n in names if "-" in n]
+        spans += [(int(n.removeprefix("batch=")),) * 2 + (f"{path}/{n}",) for n in names if "-" not in n]
+        held = lambda x: any(y[0] <= x[0] and x[1] <= y[1] and (y[1] - y[0]) > (x[1] - x[0]) for y in spans)
+        return sorted(x for x in spans if not held(x))
+
+    def _read(self, kind: str, before: int | None = None) -> DataFrame | None:
+        paths = [path for first, _, path in self._folders(kind) if before is None or first < before]
+        out = None
+        for path in paths:
+            one = self.spark.read.parquet(path)
+            out = one if out is None else out.unionByName(one)
+        return out
+
+    def _write(self, rows: DataFrame, kind: str, number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.folder}/{kind}/batch={number}")
+
+    def _changes(self, now: DataFrame, before: DataFrame) -> tuple[DataFrame, DataFrame]:
         dims = self.config.dims
-        counts = occupancy(active_intervals(events, self.config), dims)
-        return counts.select("minute_id", *dims, (sign * F.col("cnt_a")).alias("cnt_a"), (sign * F.col("cnt_b")).alias("cnt_b"))
+        counts, moves = [], []
+        for sign, some in ((1, now), (-1, before)):
+            g = occupancy(some, dims)
+            counts.append(g.select("minute_id", *dims, (sign * F.col("cnt_a")).alias("cnt_a"), (sign * F.col("cnt_b")).alias("cnt_b")))
+            moves += [deltas(some, dims, kind).withColumn("delta", sign * F.col("delta")) for kind in "ab"]
+        moved = moves[0]
+        for more in moves[1:]:
+            moved = moved.unionByName(more)
+        return self._counts(counts[0].unionByName(counts[1])), self._moves(moved)
+
+    def _counts(self, rows: DataFrame) -> DataFrame:
+        counts = rows.groupBy("minute_id", *self.config.dims).agg(F.sum("cnt_a").alias("cnt_a"), F.sum("cnt_b").alias("cnt_b"))
+        return counts.where("cnt_a <> 0 OR cnt_b <> 0")
+
+    def _moves(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy("minute_id", *self.config.dims, "delta_kind").agg(F.sum("delta").alias("delta")).where("delta <> 0")
+
+    @staticmethod
+    def _latest(intervals: DataFrame) -> DataFrame:
+        """The intervals of each session's last batch; a session whose intervals have gone has a row without times there."""
+        last = intervals.groupBy("session_id").agg(F.max("version").alias("version"))
+        return intervals.join(last, ["session_id", "version"])
 
     def add(self, batch: DataFrame, number: int) -> None:
         """Takes in a batch of normalised events; number is the batch's, the same when it is repeated."""
-        part = F.pmod(F.xxhash64("session_id"), F.lit(self.parts)).cast("int")
-        batch = batch.withColumn("part", part)
-        batch.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.folder}/events/batch={number}")
-        own = self._read("events").where(F.col("batch") <= number)
-        new = own.where(F.col("batch") == number).select("session_id", "part")
+        if any(first <= number <= last and first < last for first, last, _ in self._folders("events")):
+            return  # it was taken in and compacted
+        rows = batch.withColumns({"part": F.pmod(F.xxhash64("session_id"), F.lit(self.parts)).cast("int"), "batch": F.lit(number).cast("long")})
+        rows.repartition("part").write.mode("overwrite").partitionBy("part").parquet(f"{self.folder}/events/batch={number}")
+        new = self.spark.read.parquet(f"{self.folder}/events/batch={number}").select("session_id", "part")
         parts = [r["part"] for r in new.select("part").distinct().collect()]  # at most self.parts rows
         if not parts:
             return
-        own = touched(own.where(F.col("part").isin(*parts)), new, "session_id")
-        change = self._counts(own, 1).unionByName(self._counts(own.where(F.col("batch") < number), -1))
-        change = change.groupBy("minute_id", *self.config.dims).agg(F.sum("cnt_a").alias("cnt_a"), F.sum("cnt_b").alias("cnt_b")).where("cnt_a <> 0 OR cnt_b <> 0")
-        change.write.mode("overwrite").parquet(f"{self.folder}/minutes/batch={number}")
+        own = touched(self._read("events", number + 1).where(F.col("part").isin(*parts)), new, "session_id")
+        now = active_intervals(own, self.config)
+        now = new.select("session_id").distinct().join(now, "session_id", "left").withColumn("version", F.lit(number).cast("long"))
+        old = self._read("intervals", number)
+        self._write(now, "intervals", number)
+        now = self.spark.read.parquet(f"{self.folder}/intervals/batch={number}")
+        before = now.where("false") if old is None else self._latest(touched(old, new, "session_id"))
+        counts, moves = self._changes(now.where("start_ms IS NOT NULL"), before.where("start_ms IS NOT NULL").select(now.columns))
+        self._write(counts, "minutes", number)
+        self._write(moves, "deltas", number)
+        if self.compact_every and (number + 1) % self.compact_every == 0:
+            self.compact(number)
+
+    def compact(self, last: int) -> None:
+        """Puts the files of all batches up to last into one folder of each table; sums and latest versions are taken on the way. The
+        old folders go only when the new one is complete, and are ignored from then on."""
+        for kind in ("minutes", "deltas", "intervals", "events"):
+            held = [x for x in self._folders(kind) if x[1] <= last]
+            if len(held) < 2:
+                continue
+            rows = None
+            for _, _, path in held:
+                one = self.spark.read.parquet(path)
+                rows = one if rows is None else rows.unionByName(one)
+            rows = {"minutes": self._counts, "deltas": self._moves, "intervals": self._latest}.get(kind, lambda x: x)(rows)
+            writer = rows.repartition("part").write.partitionBy("part") if kind == "events" else rows.write
+            writer.mode("overwrite").parquet(f"{self.folder}/{kind}/batch={held[0][0]}-{last}")
+            for _, _, path in held:
+                remove(self.spark, path)
 
     def minutes(self) -> DataFrame:
         """The minute table so far."""
-        dims = self.config.dims
         kept = self._read("minutes")
-        return kept.groupBy("minute_id", *dims).agg(F.sum("cnt_a").alias("cnt_a"), F.sum("cnt_b").alias("cnt_b")).where("cnt_a <> 0 OR cnt_b <> 0")
+        return self._counts(kept) if kept is not None else self._none("cnt_a long, cnt_b long")
+
+    def deltas(self) -> DataFrame:
+        """The delta table so far, of both kinds."""
+        kept = self._read("deltas")
+        return self._moves(kept) if kept is not None else self._none("delta_kind string, delta long")
+
+    def intervals(self) -> DataFrame:
+        """The current intervals of all sessions; None before the first batch."""
+        kept = self._read("intervals")
+        return None if kept is None else self._latest(kept).where("start_ms IS NOT NULL").drop("version")
+
+    def _none(self, values: str) -> DataFrame:
+        dims = ", ".join(f"{d} {'long' if d == 'content_id' else 'string'}" for d in self.config.dims)
+        return self.spark.createDataFrame([], f"minute_id long, {dims}, {values}")
 
     def start(self, stream: DataFrame, interval: str | None = "15 seconds") -> StreamingQuery:
         """Runs on a stream of normalised events; without an interval it takes what is there and stops."""
