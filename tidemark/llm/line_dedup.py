@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.common import checkpointed, packed, ship, unpacked
-from tidemark.llm.textkit import text_slices
+from tidemark.llm.textkit import small_batches, text_slices
 
 BLANK = b" \t\n\x0b\x0c\r"
 #: Bits of the filters for each line, and most bits of one filter: 128 MB, whatever the input. Beyond it more lines that
@@ -141,7 +141,7 @@ def _is_marked(batch: pa.RecordBatch, filter_: np.ndarray, bits: int) -> np.ndar
 
 def _untouched(batches: Iterator[pa.RecordBatch], marked: Broadcast, bits: int) -> Iterator[pa.RecordBatch]:
     """The documents that lose nothing, as they are."""
-    for batch in batches:
+    for batch in small_batches(batches):
         rows = batch.filter(pa.array(~_is_marked(batch, marked.value, bits)))
         text = pc.fill_null(rows.column("text"), "")
         lines = pc.cast(pc.add(pc.count_substring(text, "\n"), 1), pa.int64())
@@ -150,7 +150,7 @@ def _untouched(batches: Iterator[pa.RecordBatch], marked: Broadcast, bits: int)
 
 
 def _suspected(batches: Iterator[pa.RecordBatch], marked: Broadcast, bits: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small_batches(batches):
         yield batch.filter(pa.array(_is_marked(batch, marked.value, bits)))
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at once; a longer text is handled alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 _RANDOM = np.random.default_rng(20240229)
@@ -56,6 +56,14 @@ def words_of(texts: list[bytes]) -> Words:
     return Words(data, start, end, hashes, begin)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about SLICE_BYTES, so that what is made of them stays small as well."""
+    for batch in batches:
+        step = max(1, batch.num_rows * SLICE_BYTES // max(1, batch.nbytes))
+        for i in range(0, batch.num_rows, step):
+            yield batch.slice(i, step)
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], name: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Parts of the batches of at most about SLICE_BYTES, with their texts as bytes; null texts are empty. Only a part's texts are
     copied at once."""
