@@ -13,6 +13,8 @@ from tidemark.llm.common import WORD, WS, checkpointed, small_side, text_key
 
 #: Key ranges a source is cut into. A range is what one task sorts; it holds 1/1024 of a source's rows.
 RANGES = 1024
+#: A range is hot with more rows than this, and more than so many times the mean of its source: some id has most of them.
+HOT_ROWS, HOT_TIMES = 10_000, 20
 SEED = "mix-1"
 
 
@@ -46,6 +48,23 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
     return ranked.select("source", "source_size", "weight", target.alias("target"))
 
 
+def _segmented(keyed: DataFrame, totals: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """keyed and totals with mix_segment, which cuts hot ranges further, in key order: before the most frequent key, by size the rows of this key, and
+    behind it. So rows that repeat an id meet in one task only if they are of one size too."""
+    mean = F.avg("n").over(Window.partitionBy("mix_skey"))
+    hot = totals.withColumn("mean", mean).where((F.col("n") > HOT_ROWS) & (F.col("n") > HOT_TIMES * F.col("mean"))).select("mix_skey", "mix_range")
+    none = F.lit(0).cast("long")
+    hot = checkpointed(hot)
+    if not hot.limit(1).count():
+        return keyed.withColumn("mix_segment", none), totals.withColumn("mix_segment", none)
+    often = keyed.join(F.broadcast(hot), ["mix_skey", "mix_range"], "left_semi").groupBy("mix_skey", "mix_range", "mix_key").agg(F.count("*").alias("n"))
+    often = often.groupBy("mix_skey", "mix_range").agg(F.max_by("mix_key", F.struct("n", "mix_key")).alias("mix_often"))
+    own, often_key = F.col("mix_key"), F.col("mix_often")
+    segment = F.when(own == often_key, F.col("mix_size") + 1).when(own > often_key, F.lit((1 << 63) - 1)).otherwise(none)
+    keyed = keyed.join(small_side(often), ["mix_skey", "mix_range"], "left").withColumn("mix_segment", F.coalesce(segment, none)).drop("mix_often")
+    return keyed, keyed.groupBy("mix_skey", "mix_range", "mix_segment").agg(F.sum("mix_size").alias("range_size"))
+
+
 def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: str = SEED) -> DataFrame:
     """How much of each row the mix takes.
 
@@ -58,20 +77,22 @@ def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoch
     """
     keyed = rows.withColumns({"mix_skey": text_key(F.col("source")), "mix_key": mix_key(F.col("doc_id"), seed)})
     keyed = keyed.withColumn("mix_range", F.shiftright(F.conv(F.substring("mix_key", 1, 8), 16, 10).cast("long") * RANGES, 32).cast("int"))
-    totals = checkpointed(keyed.groupBy("mix_skey", "mix_range").agg(F.sum("mix_size").alias("range_size")))
+    totals = checkpointed(keyed.groupBy("mix_skey", "mix_range").agg(F.sum("mix_size").alias("range_size"), F.count("*").alias("n")))
     name = F.when(F.col("mix_skey") != "n", F.substring("mix_skey", 2, 1 << 30)).alias("source")  # sums alone keep the aggregates in hash tables
     targets = source_targets(totals.groupBy("mix_skey").agg(F.sum("range_size").alias("source_size")).select(name, "source_size"), weights, max_epochs)
-    ranges = totals.withColumn("mix_before", F.sum("range_size").over(Window.partitionBy("mix_skey").orderBy("mix_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("range_size"))
+    keyed, ranges = _segmented(keyed, totals)
+    by_range = Window.partitionBy("mix_skey").orderBy("mix_range", "mix_segment").rowsBetween(Window.unboundedPreceding, 0)
+    ranges = ranges.withColumn("mix_before", F.sum("range_size").over(by_range) - F.col("range_size"))
     targets = targets.select(text_key(F.col("source")).alias("mix_skey"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
-    side = small_side(ranges.select("mix_skey", "mix_range", "mix_before").join(targets, "mix_skey"))
-    order = Window.partitionBy("mix_skey", "mix_range").orderBy("mix_key", "doc_id", "mix_size")
+    side = small_side(ranges.select("mix_skey", "mix_range", "mix_segment", "mix_before").join(targets, "mix_skey"))
+    order = Window.partitionBy("mix_skey", "mix_range", "mix_segment").orderBy("mix_key", "doc_id", "mix_size")
     within = F.sum("mix_size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("mix_size")
-    placed = keyed.withColumn("mix_within", within).join(side, ["mix_skey", "mix_range"])
+    placed = keyed.withColumn("mix_within", within).join(side, ["mix_skey", "mix_range", "mix_segment"])
     budget = F.floor(F.col("mix_target") + 0.5).cast("long")
     epochs = F.when(F.col("mix_source_size") > 0, F.floor(budget / F.greatest(F.col("mix_source_size"), F.lit(1)))).otherwise(0).cast("long")
     left = budget - epochs * F.col("mix_source_size") - F.col("mix_before") - F.col("mix_within")
     taken = epochs * F.col("mix_size") + F.greatest(F.lit(0).cast("long"), F.least(left, F.col("mix_size")))
-    return placed.withColumn("mix_taken", taken).drop("mix_skey", "mix_key", "mix_range", "mix_before", "mix_within")
+    return placed.withColumn("mix_taken", taken).drop("mix_skey", "mix_key", "mix_range", "mix_segment", "mix_before", "mix_within")
 
 
 def mixed_copies(mixed: DataFrame) -> DataFrame:
