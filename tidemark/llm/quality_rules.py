@@ -78,7 +78,9 @@ def quality_rules(docs: DataFrame, host: str = "source", least_chars: int = 20,
     rows = rows.withColumn("row_key", F.xxhash64("doc_id", "text", "host"))
     lines = lines_of(rows, least_chars)
     # in a row a line counts once: only its first place goes into the count
-    per_row = F.array_distinct(F.transform(F.filter(F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), lambda x: F.lower(F.btrim(x, F.lit(BLANK)))), lambda x: F.length(x) >= least_chars), lambda x: F.xxhash64(F.col("host"), x)))
+    split = F.split(F.coalesce("text", F.lit("")), "\n")
+    norms = F.filter(F.transform(split, lambda x: F.lower(F.btrim(x, F.lit(BLANK)))), lambda x: F.length(x) >= least_chars)
+    per_row = F.array_distinct(F.transform(norms, lambda x: F.xxhash64(F.col("host"), x)))
     counted = rows.select(F.explode(per_row).alias("line_key")).groupBy("line_key").agg(F.count("*").alias("n")).where(F.col("n") > least_docs)
     # a key of its own on both sides, so that a line of very many documents is a partition that Spark splits
     frequent = counted.select(F.xxhash64("line_key").alias("join_key"), "line_key")

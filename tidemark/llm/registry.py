@@ -24,7 +24,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document, learned from the labelled documents that aren't held out."""
     out = classifier.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+    held_out = classifier.held_out(F.col("doc_id")).alias("held_out")
+    return out.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,7 +38,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("mix_size"))
     out = mixing.mix_sources(docs)
-    return out.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"), F.col("mix_taken").alias("taken"))
+    return out.select("doc_id", *[F.col(f"mix_{n}").alias(n) for n in ("size", "source_size", "target", "taken")])
 
 
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -55,8 +56,8 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), folder)
     captures = warc.with_pages(warc.assemble(warc.read_warc(spark, folder, payloads=False)))
-    digest = F.substring_index("payload_digest", ":", -1)
-    return captures.select("page_id", "payload_bytes", digest.alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_page").alias("refers_to"))
+    digest = F.substring_index("payload_digest", ":", -1).alias("payload_digest")
+    return captures.select("page_id", "payload_bytes", digest, F.col("type").alias("record_type"), F.col("refers_page").alias("refers_to"))
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +73,19 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_jaccard_join, op2_quality_rules, op3_classifier, op4_line_dedup, op5_mixing, op6_fingerprints, op7_sentencepiece, op8_warc, op9_sharding, op10_url_filter)}
+    own = (
+        op1_jaccard_join,
+        op2_quality_rules,
+        op3_classifier,
+        op4_line_dedup,
+        op5_mixing,
+        op6_fingerprints,
+        op7_sentencepiece,
+        op8_warc,
+        op9_sharding,
+        op10_url_filter,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
