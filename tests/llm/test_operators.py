@@ -331,6 +331,17 @@ def test_mix(edge, none, documents):
     assert mixing.mix_sources(none.withColumn("mix_size", word_count(F.col("text")))).count() == 0
 
 
+def test_mix_of_rows_that_repeat_an_id(spark, monkeypatch):
+    rows = [(i, "a" if i % 3 else "b", 1 + i % 7) for i in range(300)] + [(None, "a", 1 + i % 5) for i in range(400)] + [(7, "b", 3)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, source string, mix_size long")
+    plain = sorted(map(tuple, mixing.mix_sources(df).collect()), key=str)
+    monkeypatch.setattr(mixing, "HOT_ROWS", 10)
+    monkeypatch.setattr(mixing, "HOT_TIMES", 3)
+    totals = mixing._segmented(df.withColumns({"mix_skey": F.lit("v"), "mix_range": F.lit(0), "mix_key": mixing.mix_key(F.col("doc_id"))}), spark.createDataFrame([("v", 0, 750)] + [("v", k, 1) for k in range(1, 9)], "mix_skey string, mix_range int, n long"))[1]
+    assert totals.count() == 7  # before the key, a segment for each of its five sizes, and behind it
+    assert sorted(map(tuple, mixing.mix_sources(df).collect()), key=str) == plain
+
+
 def test_cut_copies_keep_white_space(spark):
     text = " one  two\n\tthree\r\nfour\n"
     mixed = spark.createDataFrame([(text, 4, n) for n in (1, 2, 3, 4, 7)], "text string, mix_size long, mix_taken long")
