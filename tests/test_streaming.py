@@ -64,12 +64,35 @@ def test_stream_survives_restarts(spark, tmp_path):
     assert [x[:2] for x in live._folders("minutes")] == [(0, 2), (3, 3)]
 
 
+CODE = "CASE event_type WHEN 'VideoSessionStart' THEN 1 WHEN 'VideoSessionEnd' THEN -1 WHEN 'AppBackgrounded' THEN 0 WHEN 'AppForegrounded' THEN 1 END"
+
+
+def _stateful(spark, tmp_path, idle_ms=None):
+    """Minute counts that the stateful operator gives, and the sessions that it holds at the end."""
+    stream = files.stream_events(spark, f"{tmp_path}/in")
+    stream = stream.select(F.col("video_session_id").alias("session_id"), F.col("event_timestamp").alias("ts_ms"), "event_type", F.expr(CODE).alias("st"))
+    out = session_changes(stream, idle_ms=idle_ms).writeStream.outputMode("update")
+    out = out.foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}"))
+    query = out.option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/out").groupBy("minute_id").agg(F.sum("cnt_a").alias("a"), F.sum("cnt_b").alias("b")).where("a <> 0 OR b <> 0")
+    return sorted(map(tuple, got.collect())), query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+
+
+def _expected(spark, cases):
+    gold = minutes.occupancy(sessions.active_intervals(normal(spark, cases)), DIMS)
+    return sorted(map(tuple, gold.groupBy("minute_id").agg(F.sum("cnt_a").alias("a"), F.sum("cnt_b").alias("b")).collect()))
+
+
 def test_stateful_stream_converges(spark, tmp_path):
     _batches(spark, f"{tmp_path}/in", CASES)
-    stream = files.stream_events(spark, f"{tmp_path}/in").select(F.col("video_session_id").alias("session_id"), F.col("event_timestamp").alias("ts_ms"), "event_type", F.expr("CASE event_type WHEN 'VideoSessionStart' THEN 1 WHEN 'VideoSessionEnd' THEN -1 WHEN 'AppBackgrounded' THEN 0 WHEN 'AppForegrounded' THEN 1 END").alias("st"))
-    out = session_changes(stream).writeStream.outputMode("update").foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{tmp_path}/out/batch={n}"))
-    out.option("checkpointLocation", f"{tmp_path}/progress").trigger(availableNow=True).start().awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").groupBy("minute_id").agg(F.sum("cnt_a").alias("a"), F.sum("cnt_b").alias("b")).where("a <> 0 OR b <> 0")
-    gold = minutes.occupancy(sessions.active_intervals(normal(spark, CASES)), DIMS)
-    expected = gold.groupBy("minute_id").agg(F.sum("cnt_a").alias("a"), F.sum("cnt_b").alias("b"))
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    got, held = _stateful(spark, tmp_path)
+    assert got == _expected(spark, CASES) and held == len(CASES)
+
+
+def test_stateful_stream_forgets_idle_sessions(spark, tmp_path):
+    cases = {f"s{i}": (f"S{i * 1000} H{i * 1000 + 30} E{i * 1000 + 50}", None) for i in range(6)}
+    for name, case in cases.items():
+        spark.createDataFrame(rows({name: case}), EVENTS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    got, held = _stateful(spark, tmp_path, idle_ms=300_000)
+    assert got == _expected(spark, cases) and held < len(cases)

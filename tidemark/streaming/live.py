@@ -7,7 +7,6 @@ result over the events so far, in whatever order they came.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.config import EngineConfig
+from tidemark.functions.columns import END, START
 from tidemark.operators.minutes import deltas, occupancy
 from tidemark.operators.sessions import active_intervals
 from tidemark.operators.tables import touched
@@ -150,22 +150,32 @@ class LiveMinutes:
 
 
 CHANGE = "session_id string, minute_id long, cnt_a long, cnt_b long"
+HELD = "ts array<bigint>, st array<int>, closes array<boolean>, starts array<boolean>"
 
 
-def session_changes(stream: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """Signed session minutes of a stream of normalised events, by a stateful operator that keeps each session's distinct instants.
+def session_changes(stream: DataFrame, config: EngineConfig = EngineConfig(), idle_ms: int | None = None) -> DataFrame:
+    """Signed session minutes of a stream of normalised events, by a stateful operator that keeps each session's distinct events.
 
     In update mode every trigger emits, for each session that it touches, the minutes that the session gains (1) and loses (-1) of either
-    kind. Sums of them over sessions are the counts of the batch plan without dimensions.
+    kind. Sums of them over sessions are the counts of the batch plan without dimensions. With idle_ms, a session is forgotten when the
+    watermark, which follows the latest event by idle_ms, has passed its last event by idle_ms; its minutes stay as they are, and an event
+    that comes later still starts it anew. Without, sessions are kept for good.
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        held = {tuple(e) for e in json.loads(state.get[0])} if state.exists else set()
+        if state.hasTimedOut:
+            state.remove()
+            yield pd.DataFrame(columns=["session_id", "minute_id", "cnt_a", "cnt_b"])
+            return
+        held = set(zip(*state.get, strict=True)) if state.exists else set()
         before = minutes_of(intervals_of(held, config)) if held else (set(), set())
         for frame in frames:
             for ts, st, kind in zip(frame["ts_ms"], frame["st"], frame["event_type"], strict=True):
-                held.add((int(ts), None if pd.isna(st) else int(st), kind == "VideoSessionEnd", kind == "VideoSessionStart"))
-        state.update((json.dumps(sorted(held, key=str)),))
+                held.add((int(ts), None if pd.isna(st) else int(st), kind == END, kind == START))
+        state.update(tuple(map(list, zip(*sorted(held, key=str), strict=True))))
+        if idle_ms:
+            last = max(e[0] for e in held)
+            state.setTimeoutTimestamp(max(last + idle_ms, state.getCurrentWatermarkMs() + 1))
         after = minutes_of(intervals_of(held, config))
         rows = []
         for minute in sorted(before[0] | before[1] | after[0] | after[1]):
@@ -175,4 +185,8 @@ def session_changes(stream: DataFrame, config: EngineConfig = EngineConfig()) ->
         yield pd.DataFrame(rows, columns=["session_id", "minute_id", "cnt_a", "cnt_b"])
 
     slim = stream.select("session_id", "ts_ms", "st", "event_type")
-    return slim.groupBy("session_id").applyInPandasWithState(step, CHANGE, "events string", "update", GroupStateTimeout.NoTimeout)
+    timeout = GroupStateTimeout.NoTimeout
+    if idle_ms:
+        slim = slim.withColumn("at", F.timestamp_millis("ts_ms")).withWatermark("at", f"{idle_ms} milliseconds")
+        timeout = GroupStateTimeout.EventTimeTimeout
+    return slim.groupBy("session_id").applyInPandasWithState(step, CHANGE, HELD, "update", timeout)
