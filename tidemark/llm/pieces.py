@@ -14,6 +14,7 @@ import re
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -119,6 +120,19 @@ def _encoder(vocabulary) -> Encoder:
     return _ENCODERS[key]
 
 
+class _Codes(dict):
+    """Numbers words as they are looked up first; new lists those that have no encoding yet."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = len(self)
+        self.new.append(word)
+        return code
+
+
 class Encoder:
     """Encodes and decodes with one vocabulary; keeps the words of earlier batches, a bounded number."""
 
@@ -141,7 +155,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[str, int] = {}
+        self.code = _Codes()
         self.flat, self.at = np.zeros(0, np.int32), np.zeros(1, np.int64)
 
     def edges(self, data: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -163,19 +177,16 @@ class Encoder:
         order = np.argsort(found, kind="stable")
         return found[order], rows[order]
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes new words and keeps them."""
-        parts, held = [], 0
-        for w in words:
-            parts.append(w.encode())
-            held += len(parts[-1]) + 1
-            if held >= INDEX_BYTES:
-                self._encode(parts)
-                parts, held = [], 0
-        if parts:
-            self._encode(parts)
-        for w in words:
-            self.code[w] = len(self.code)
+    def learn(self) -> None:
+        """Encodes the new words, in the order of their numbers."""
+        words, self.code.new = [w.encode() for w in self.code.new], []
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
+        begin = 0
+        while begin < len(words):
+            held = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, held + INDEX_BYTES, "right")))
+            self._encode(words[begin:end])
+            begin = end
 
     def _encode(self, words: list[bytes]) -> None:
         data = np.frombuffer(bytes([GAP]).join(words) + bytes([GAP]) * (8 * self.width + 1), np.uint8)
@@ -297,11 +308,9 @@ class Encoder:
         split = [WORDS.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         if len(self.code) > KEPT_WORDS:
             self.forget()
-        new = {w: None for words in split for w in words if w not in self.code}
-        if new:
-            self.learn(list(new))
-        total = sum(map(len, split))
-        codes = np.fromiter((self.code[w] for words in split for w in words), np.int64, total)
+        codes = np.fromiter(map(self.code.__getitem__, chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        if self.code.new:
+            self.learn()
         sizes = self.at[codes + 1] - self.at[codes]
         ends = np.concatenate([[0], np.cumsum(sizes)])
         at = np.repeat(self.at[codes] - ends[:-1], sizes) + np.arange(ends[-1])
