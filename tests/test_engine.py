@@ -172,6 +172,22 @@ def test_layouts(spark, intervals, tmp_path):
     assert scanned[0] > 0 and scanned[1] == 0
 
 
+def test_shared_folders(spark, tmp_path):
+    from types import SimpleNamespace as N
+
+    from tidemark.sources import folders
+
+    # a cluster without a shared folder: it fails rather than take a folder of one machine
+    sc = N(isLocal=lambda: False, getCheckpointDir=lambda: N(isEmpty=lambda: True))
+    far = N(sparkContext=N(_jsc=N(sc=lambda: sc), getConf=lambda: N(get=lambda key: None)))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        folders.checkpoint_folder(far)
+    path = folders.shared_folder(spark, "x")
+    assert path.startswith(folders.checkpoint_folder(spark)) and folders.exists(spark, path)
+    folders.remove(spark, path)
+    assert not folders.exists(spark, path)
+
+
 def test_served_tables(spark, sf_dir):
     from tidemark.plans import served
 
