@@ -542,6 +542,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/e")).count() == 0
 
 
+def test_warc_archives_are_bounded_by_bytes(spark, tmp_path):
+    html = [hashlib.sha512(b"%d" % i).hexdigest() * (200 if i == 7 else 4) for i in range(60)]
+    df = spark.createDataFrame([(i, f"http://h/{i}", x) for i, x in enumerate(html)], "page_id long, url string, html string").coalesce(1)
+    warc.write_warc(df, f"file://{tmp_path}/w", max_bytes=2000)
+    found = warc.with_pages(warc.assemble(warc.read_warc(spark, f"file://{tmp_path}/w"))).collect()
+    assert sorted((r["page_id"], r["payload"]) for r in found) == list(enumerate(html))
+    files = list((tmp_path / "w").glob("*.warc.gz"))
+    assert len(files) > 10
+    for path in files:
+        types = [r["type"] for r in warc.parse(io.BytesIO(gzip.decompress(path.read_bytes())))]
+        assert types[0] == "warcinfo" and types.count("warcinfo") == 1
+        assert path.stat().st_size <= 2000 or len(types) == 2
+
+
 def test_warc_long_records_end_with_a_zero():
     for size in (0, 10, (1 << 24) - 4, 1 << 24, (1 << 25) + 5):
         member = warc.gzip_member(b"x" * size)

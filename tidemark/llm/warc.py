@@ -31,8 +31,8 @@ _ARROW = pa.schema(
         ("fields", pa.map_(pa.string(), pa.string())),
     ]
 )
-#: Bytes that Python hands over at once.
-PART_BYTES = 8_000_000
+#: Bytes of payloads that Python hands over at once; most bytes of an archive, which is written and read as a whole.
+PART_BYTES, ARCHIVE_BYTES = 8_000_000, 32_000_000
 
 
 def _record_id(kind: str, key: Column, nth: Column) -> Column:
@@ -145,34 +145,42 @@ def gzip_member(record: bytes) -> bytes:
     return member if member[-1] == 0 else member + EMPTY_MEMBER
 
 
-def _members(batches: Iterator[pa.RecordBatch], max_records: int, date: str) -> Iterator[pa.RecordBatch]:
-    n, out, held = 0, [], 0
+def _archives(batches: Iterator[pa.RecordBatch], max_records: int, max_bytes: int, date: str) -> Iterator[pa.RecordBatch]:
+    """Whole archives, one a row, each without its last byte."""
+
+    def archive(members: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"value": pa.array([b"".join(members)[:-1]], pa.binary())})
+
+    members, held = [], 0
     for batch in batches:
         for value in batch.column("value").cast(pa.binary()):
             record = value.as_py()
-            for x in ([_info(record, date)] if n % max_records == 0 else []) + [record]:
-                out.append(gzip_member(x)[:-1])
-                held += len(out[-1])
-                n += 1
-            if held >= PART_BYTES:
-                yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
-                out, held = [], 0
-    if out:
-        yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.binary())})
-
-
-def write_warc(pages: DataFrame, path: str, max_records: int = 30_000, date: str = DATE) -> None:
-    """Archives of pages under path: WARC 1.1 files named .warc.gz, each of at most max_records (2 or more) records, the first a warcinfo, and
-    every record a gzip member of its own. Payloads are counted in UTF-8 bytes. What was under path goes; an empty table writes no archive.
-
-    Spark's text sink writes the members, so any store that Spark reaches will do; the driver renames the files when the job is done.
+            member = gzip_member(record)
+            if len(members) >= max_records or len(members) > 1 and held + len(member) > max_bytes:
+                yield archive(members)
+                members, held = [], 0
+            if not members:
+                members.append(gzip_member(_info(record, date)))
+                held = len(members[0])
+            members.append(member)
+            held += len(member)
+    if members:
+        yield archive(members)
+
+
+def write_warc(pages: DataFrame, path: str, max_records: int = 30_000, max_bytes: int = ARCHIVE_BYTES, date: str = DATE) -> None:
+    """Archives of pages under path: WARC 1.1 files named .warc.gz, each of at most max_records (2 or more) records and max_bytes, the first record a
+    warcinfo, and every record a gzip member of its own. Only an archive of a single record besides can be larger than max_bytes. Payloads are
+    counted in UTF-8 bytes. What was under path goes; an empty table writes no archive.
+
+    Spark's text sink writes the archives, so any store that Spark reaches will do; the driver renames the files when the job is done.
     """
     spark = pages.sparkSession
     ship(spark)
-    members = records(deduplicated(pages), date).mapInArrow(lambda b: _members(b, max_records, date), "value binary")
-    # a string of Spark's is bytes, and the sink writes them as they are
-    rows = members.select(F.col("value").cast("string").alias("value")).write.mode("overwrite")
-    rows.option("lineSep", LAST_BYTE).option("compression", "none").option("maxRecordsPerFile", max_records).text(path)
+    archives = records(deduplicated(pages), date).mapInArrow(lambda b: _archives(b, max_records, max_bytes, date), "value binary")
+    # a string of Spark's is bytes, and the sink writes them as they are, each row to a file of its own
+    rows = archives.select(F.col("value").cast("string").alias("value")).write.mode("overwrite")
+    rows.option("lineSep", LAST_BYTE).option("compression", "none").option("maxRecordsPerFile", 1).text(path)
     system, folder = file_system(spark, path)
     for status in system.listStatus(folder):
         name = status.getPath().getName()
