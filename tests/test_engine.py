@@ -4,6 +4,7 @@ import pytest
 from cases import BASE, CASES, KINDS, SUB, events, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from tidemark.config import EngineConfig
@@ -84,6 +85,19 @@ def test_models_agree(intervals):
     assert minutes.deltas(intervals, DIMS, "b").agg(F.sum("delta")).first()[0] == 0
 
 
+def test_full_outer_join_meets_before_minutes_are_unfolded(intervals):
+    some = intervals.withColumn("country", F.when(F.col("session_id") != "F01", F.col("country")))
+    for dims in (DIMS, ("country",), ()):
+        a, b = (minutes.session_minutes(some, k).groupBy("minute_id", *dims).count() for k in "ab")
+        want = {tuple(r)[:-1]: [0, r["count"]] for r in b.collect()}
+        for r in a.collect():
+            want[tuple(r)[:-1]][0] = r["count"]
+        got = minutes.occupancy_by_join(some, dims)
+        assert sorted(map(str, got.collect())) == sorted(str(Row(**dict(zip(got.columns, [*k, *n], strict=True)))) for k, n in want.items())
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode(sequence(") == 1 and plan.index("explode(sequence(") < plan.index("FullOuter")
+
+
 def test_sensitivity(intervals):
     peaks = {(r["bucket_ms"], r["metric"]): r["peak"] for r in Q.bucket_sensitivity(intervals).collect()}
     assert peaks[60_000, "cnt_a"] == 15 and peaks[60_000, "cnt_b"] == 17 and peaks[1_000, "cnt_a"] <= 16 <= peaks[1_000, "cnt_b"]

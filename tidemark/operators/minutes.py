@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,14 +51,8 @@ def changes(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
     return rows.groupBy("minute_id", *dims).agg(F.sum("change_a").alias("change_a"), F.sum("change_b").alias("change_b"))
 
 
-def occupancy(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
-    """Minute table: cnt_a and cnt_b of each minute and dims, for minutes that some session touches.
-
-    It comes from changes alone: their running sums by dims are the counts from one change to the next, and only the result is unfolded
-    to minutes. So what is shuffled grows with the intervals, not with the minutes that they last. Of fewer dims it is the sum over
-    the others, as a session has one value of each.
-    """
-    net = changes(intervals, dims)
+def _unfolded(net: DataFrame, dims: tuple[str, ...]) -> DataFrame:
+    """Minute table from net changes (change_a, change_b; one row for each minute and dims)."""
     if dims:
         order = Window.partitionBy(*dims).orderBy("minute_id")
         so_far = order.rowsBetween(Window.unboundedPreceding, 0)
@@ -66,13 +63,26 @@ def occupancy(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
     return net.select(F.explode(F.sequence("minute_id", F.col("next_minute") - 1)).alias("minute_id"), *dims, "cnt_a", "cnt_b")
 
 
+def occupancy(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
+    """Minute table: cnt_a and cnt_b of each minute and dims, for minutes that some session touches.
+
+    It comes from changes alone: their running sums by dims are the counts from one change to the next, and only the result is unfolded
+    to minutes. So what is shuffled grows with the intervals, not with the minutes that they last. Of fewer dims it is the sum over
+    the others, as a session has one value of each.
+    """
+    return _unfolded(changes(intervals, dims), dims)
+
+
 def occupancy_by_join(intervals: DataFrame, dims: tuple[str, ...]) -> DataFrame:
-    """The same table from a full outer join of both kinds of session minutes; kept as a cross-check."""
-    keys = ["session_id", "minute_id", *dims]
-    a = session_minutes(intervals, "a").select(*keys, F.lit(1).alias("a"))
-    b = session_minutes(intervals, "b").select(*keys, F.lit(1).alias("b"))
-    count = lambda c: F.sum(F.coalesce(c, F.lit(0)))
-    return a.join(b, keys, "full").groupBy("minute_id", *dims).agg(count("a").alias("cnt_a"), count("b").alias("cnt_b"))
+    """The same table from a full outer join of the signed changes of both kinds, each from a pass of its own: a from the intervals, b from
+    merged runs. Kept as a cross-check of touched_spans. A count is the running sum of its changes, so the changes meet before minutes are
+    unfolded, and what is shuffled doesn't grow with the minutes that sessions last. Dims may be null."""
+    keys = ["minute_id", *dims]
+    a, b = (deltas(intervals, dims, k).alias(k) for k in "ab")
+    same = reduce(and_, [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    change = [F.coalesce(f"{k}.delta", F.lit(0)).alias(f"change_{k}") for k in "ab"]
+    net = a.join(b, same, "full").select(*[F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in keys], *change)
+    return _unfolded(net, dims)
 
 
 def deltas(intervals: DataFrame, dims: tuple[str, ...], kind: str) -> DataFrame:
