@@ -729,6 +729,31 @@ def test_mined_rules_against_brute_force(spark):
     assert matched == {u for u, _ in rows if any(set(s) <= tokens[u] for s in best)}
 
 
+def test_rules_of_urls_with_many_items_against_brute_force(spark):
+    from itertools import combinations
+
+    r = random.Random(7)
+    rows = []
+    for i in range(160):
+        held = [k for k in range(13) if r.random() < 0.75]
+        rows.append((f"http://h{i}.org/" + "/".join(f"s{k}" for k in held), r.random() < (0.9 if {0, 1} <= set(held) and 2 not in held else 0.35)))
+    # items of least confidence, of which two together are certain
+    rows += [(f"http://x{i}.org/p/q/" + "/".join(f"s{k}" for k in range(13) if k != i), True) for i in range(12)]
+    rows += [(f"http://y{i}.org/{'pq'[i % 2]}", False) for i in range(100)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    rules = {tuple(x["tokens"]): x["confidence"] for x in urls.mine_rules(df).collect()}
+    tokens = {u: sorted(t for t in ts if t.startswith("path=")) for u, ts in df.select("url", urls.url_tokens(F.col("url"))).collect()}
+    seen, bad = Counter(), Counter()
+    for u, y in rows:
+        for k in range(1, len(tokens[u]) + 1):
+            for s in combinations(tokens[u], k):
+                seen[s] += 1
+                bad[s] += y
+    good = {s: bad[s] / seen[s] for s in seen if bad[s] >= 8 and bad[s] / seen[s] >= 0.6}
+    best = {s: c for s, c in good.items() if not any(good.get(t, 0) >= c for k in range(1, len(s)) for t in combinations(s, k))}
+    assert rules == best and rules["path=p", "path=q"] == 1 and max(map(len, best)) > 3
+
+
 @pytest.mark.parametrize("noise", [False, True])
 def test_rules_of_long_templates(spark, noise):
     path = lambda i: "/".join(f"s{k}" for k in range(40) if not noise or k % 25 != i)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.ml.fpm import FPGrowth
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, small_side
+from tidemark.llm.common import checkpointed, ship, small_side
 
 #: Action, host and path prefix of each fixed rule.
 FIXED_RULES = (
@@ -61,16 +63,90 @@ def _token_classes(held: DataFrame, least_bad: int) -> DataFrame:
     return tokens.where(F.col("n_bad") >= least_bad).withColumn("class", name).select("token", "class", "n", "n_bad")
 
 
-def _frequent_sets(held: DataFrame, items: DataFrame, least_bad: int, most_items: int) -> DataFrame | None:
-    """Sets (tokens) of two or more classes that FP-growth finds in at least least_bad bad URLs; held is (id, bad, class)."""
-    rank = F.struct((-F.col("n_bad") / F.col("n")).alias("rank"), "class")
-    baskets = held.where("bad").join(items, "class").groupBy("id").agg(F.sort_array(F.collect_set(rank)).alias("ranked"))
-    baskets = checkpointed(baskets.select(F.transform(F.slice("ranked", 1, most_items), lambda x: x["class"]).alias("items")).where(F.size("items") > 1))
-    n = baskets.count()
-    if n < least_bad:
-        return None
-    model = FPGrowth(itemsCol="items", minSupport=(least_bad - 0.5) / n).fit(baskets)
-    return model.freqItemsets.where(F.size("items") > 1).select(F.array_sort("items").alias("tokens"))
+def _merged(batches: Iterator[pa.RecordBatch], least_bad: int) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """A conditional database (path, n_bad, n_clean) as names of its items, a row for each item with a flag for each path, and both
+    counts of each path. Items below least_bad or in all clean paths are left out, and paths that are then equal are one."""
+    rows = pa.Table.from_batches(list(batches)).combine_chunks()
+    bad, clean = (rows[k].to_numpy() for k in ("n_bad", "n_clean"))
+    paths = rows["path"].combine_chunks()
+    items = paths.flatten().dictionary_encode()
+    at = np.repeat(np.arange(len(paths)), paths.value_lengths().to_numpy())
+    item, n = items.indices.to_numpy(), len(items.dictionary)
+    some = (np.bincount(item, bad[at], n) >= least_bad) & (np.bincount(item, clean[at], n) < clean.sum())
+    held = np.zeros((len(paths), np.count_nonzero(some)), bool)
+    use = some[item]
+    held[at[use], (np.cumsum(some) - 1)[item[use]]] = True
+    held, same = np.unique(np.packbits(held, axis=1), axis=0, return_inverse=True)
+    flags = np.ascontiguousarray(np.unpackbits(held, axis=1, count=np.count_nonzero(some)).T.astype(bool))
+    names = items.dictionary.filter(pa.array(some)).to_pylist()
+    return names, flags, *(np.bincount(same.reshape(-1), w, len(held)).astype(np.int64) for w in (bad, clean))
+
+
+def _grown(names: list[str], holds: np.ndarray, bad: np.ndarray, clean: np.ndarray, least_bad: int, least_confidence: float) -> Iterator[tuple[list[str], int, int]]:
+    """Sets (items, n_bad, n_clean) that pattern growth finds in a conditional database, of at least both bounds and more
+    confident than without any one of their items.
+
+    An item that excludes no clean path of a set excludes none of a larger one, and the set without it is as confident. So a set grows
+    only by items that exclude some, and as long as each of its items does. Nor does it grow if even the clean paths that hold all
+    items it could get are too many. Both leave out no set that could be a rule.
+    """
+    stack = [((), np.arange(len(bad)), list(range(len(names))), [])]
+    while stack:
+        own, paths, items, without = stack.pop()
+        own_bad, own_clean = bad[paths], clean[paths]
+        total, everywhere, growing = own_clean.sum(), np.ones(len(paths), bool), []
+        for item in items:
+            inside = holds[item][paths]
+            n_bad, n_clean = own_bad[inside].sum(), own_clean[inside].sum()
+            if n_bad >= least_bad and n_clean < total:
+                growing.append((item, n_bad, n_clean))
+                everywhere &= inside
+        most = max((n_bad for _, n_bad, _ in growing), default=0)
+        if not growing or most / (most + own_clean[everywhere].sum()) < least_confidence:
+            continue
+        for nth, (item, n_bad, n_clean) in enumerate(growing):
+            inside = holds[item][paths]
+            wider = [w[holds[item][w]] for w in without] + [paths[~inside]]
+            more = [(bad[w].sum(), clean[w].sum()) for w in wider]
+            if any(c == 0 for _, c in more):
+                continue
+            if n_bad / (n_bad + n_clean) >= least_confidence and all(n_bad * (n_clean + c) > (n_bad + b) * n_clean for b, c in more):
+                yield [names[i] for i in (*own, item)], int(n_bad), int(n_clean)
+            if n_clean and nth + 1 < len(growing):
+                stack.append(((*own, item), paths[inside], [i for i, _, _ in growing[nth + 1 :]], wider))
+
+
+def _frequent_sets(held: DataFrame, items: DataFrame, least_bad: int, least_confidence: float) -> DataFrame:
+    """Sets (tokens, n, n_bad) of two or more classes, found by FP-growth in at least least_bad bad URLs, that imply a bad URL with
+    at least least_confidence and more surely than without any one class; held is (id, bad, class).
+
+    URLs of equal items are one path, which goes from the rarest item to the most frequent. Each item's conditional database holds
+    what follows it in the paths, and is mined in one task: a rare item's has few paths, a frequent one's few items.
+    """
+    ship(held.sparkSession)
+    path = F.transform(F.sort_array(F.collect_list(F.struct("n", "class"))), lambda x: x["class"]).alias("path")
+    urls = held.join(small_side(items.select("class", "n")), "class").groupBy("id", "bad").agg(path)
+    paths = urls.groupBy("path").agg(F.count_if("bad").alias("n_bad"), F.count_if(~F.col("bad")).alias("n_clean"))
+    each = paths.select("path", F.posexplode("path").alias("nth", "class"), "n_bad", "n_clean")
+    each = each.select("class", F.slice("path", F.col("nth") + 2, F.size("path")).alias("path"), "n_bad", "n_clean")
+    bases = each.groupBy("class", "path").agg(F.sum("n_bad").alias("n_bad"), F.sum("n_clean").alias("n_clean"))
+
+    def mined(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _grown(*_merged(batches, least_bad), least_bad, least_confidence)
+        first, out = key[0].as_py(), []
+        for own, n_bad, n_clean in found:
+            out.append((sorted([first, *own]), n_bad + n_clean, n_bad))
+            if len(out) == 10_000:
+                yield _sets(out)
+                out = []
+        yield _sets(out)
+
+    return bases.groupBy("class").applyInArrow(mined, "tokens array<string>, n long, n_bad long")
+
+
+def _sets(rows: list[tuple[list[str], int, int]]) -> pa.RecordBatch:
+    tokens, n, n_bad = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(tokens, pa.list_(pa.string())), pa.array(n, pa.int64()), pa.array(n_bad, pa.int64())], ["tokens", "n", "n_bad"])
 
 
 def _inverted(sets: DataFrame) -> DataFrame:
@@ -86,18 +162,17 @@ def _holders(owned: DataFrame, sets: DataFrame) -> DataFrame:
     return looked.where(F.size(F.array_except("tokens", "own")) == 0).drop("class", "own")
 
 
-def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_count: int = 8, min_confidence: float = 0.6, most_items: int = 10) -> DataFrame:
+def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_count: int = 8, min_confidence: float = 0.6) -> DataFrame:
     """Rules (tokens, any_of, confidence, support) that imply a bad URL, from labelled (url, bad).
 
     Tokens that the same labelled URLs hold are one item: tokens has the least token of each item, any_of all of them, and any will do. So
     tokens that a site's template repeats don't multiply. Confidence is the share of bad URLs among those that hold the rule, support the
     share of all labelled URLs that hold it and are bad.
 
-    Rules of one item come from plain counts, with at least min_count bad URLs in tables of any size. FP-growth mines the combinations
-    in the bad URLs, of items that are neither certain by themselves nor in every URL; such rules need min_count bad URLs and
-    min_support of all. Their counts are then taken over all labelled URLs, by the inverted index. A combination draws on the most_items
-    items of highest confidence of a URL, which bounds the mining of URLs that share many tokens. A rule of which a part is a rule at
-    least as confident is left out. No labelled URLs, or none bad, give no rules.
+    Rules of one item come from plain counts, with at least min_count bad URLs in tables of any size. FP-growth mines the combinations,
+    of items that are neither certain by themselves nor in every clean URL; such rules need min_count bad URLs and min_support of all. It
+    takes all items of a URL, however many. A rule of which a part is a rule at least as confident is left out. No labelled URLs, or none
+    bad, give no rules.
     """
     baskets = labelled.select(url_tokens(F.col("url")).alias("tokens"), F.coalesce("bad", F.lit(False)).alias("bad"))
     baskets = checkpointed(baskets.withColumn("id", F.monotonically_increasing_id()))
@@ -110,14 +185,10 @@ def mine_rules(labelled: DataFrame, min_support: float = 0.001, min_count: int =
     found = checkpointed(found)
     rules = found.select(F.array("class").alias("tokens"), "n", "n_bad")
     least = max(min_count, math.ceil(min_support * n))
-    items = found.where((F.col("n_bad") >= least) & (F.col("n_bad") < F.col("n")) & (F.col("n") < n)).select("class", "n", "n_bad")
+    items = found.where((F.col("n_bad") >= least) & (F.col("n_bad") < F.col("n")) & (F.col("n") - F.col("n_bad") < n - bad)).select("class", "n")
     if items.limit(2).count() == 2:
-        held = checkpointed(held.join(small_side(classes.select("token", "class")), "token").select("id", "bad", "class").distinct())
-        sets = _frequent_sets(held, items, least, most_items)
-        if sets is not None:
-            sets = checkpointed(sets)
-            own = held.groupBy("id", "bad").agg(F.collect_list("class").alias("own"))
-            rules = rules.union(_holders(own, sets).groupBy("tokens").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad")))
+        held = held.join(small_side(classes.select("token", "class")), "token").select("id", "bad", "class").distinct()
+        rules = rules.union(checkpointed(_frequent_sets(held, items, least, min_confidence)))
     rules = rules.withColumn("confidence", F.col("n_bad") / F.col("n")).where(F.col("confidence") >= min_confidence)
     rules = checkpointed(rules.select("tokens", "confidence", (F.col("n_bad") / n).alias("support")))
     part = rules.select(F.col("tokens").alias("part"), F.col("confidence").alias("part_confidence"), F.element_at("tokens", 1).alias("token"))
