@@ -752,6 +752,20 @@ def test_rules_of_urls_with_many_items_against_brute_force(spark):
     good = {s: bad[s] / seen[s] for s in seen if bad[s] >= 8 and bad[s] / seen[s] >= 0.6}
     best = {s: c for s, c in good.items() if not any(good.get(t, 0) >= c for k in range(1, len(s)) for t in combinations(s, k))}
     assert rules == best and rules["path=p", "path=q"] == 1 and max(map(len, best)) > 3
+    least = {s for s in good if not any(t in good for k in range(1, len(s)) for t in combinations(s, k))}
+    assert {tuple(x["tokens"]) for x in urls.mine_rules(df, minimal=True).collect()} == least and len(least) < len(best)
+    pages = df.select(F.monotonically_increasing_id().alias("page_id"), "url")
+    assert {x["host"] for x in urls.judge_urls(pages, df).where("mined").collect()} == {u.split("/")[2] for u, _ in rows if any(set(s) <= set(tokens[u]) for s in best)}
+
+
+def test_verdicts_of_long_templates_with_gaps(spark):
+    r = random.Random(1)
+    path = lambda: "/".join(f"s{k}" for k in range(40) if r.random() < 0.9)
+    rows = [(f"http://x.org/{path()}/{i}", i < 20) for i in range(30)] + [(f"http://y{i}.org/{i}", False) for i in range(50)]
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    pages = df.select(F.monotonically_increasing_id().alias("page_id"), "url")
+    began = time.perf_counter()
+    assert {x["host"] for x in urls.judge_urls(pages, df).where("mined").collect()} == {"x.org"} and time.perf_counter() - began < 60
 
 
 @pytest.mark.parametrize("noise", [False, True])
